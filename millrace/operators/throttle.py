@@ -141,7 +141,7 @@ def throttle(
 
     placed = in_blocks(hot, k, [_MICROS, *tie], hot_rows)
     blocks = placed.agg(F.max(BLOCK)).head()[0] + 1
-    kind = df.schema[k].dataType.simpleString()
+    kind, columns = df.schema[k].dataType.simpleString(), df.columns
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         steps = block_steps(np.sort(pdf[_MICROS].to_numpy()), gap)
@@ -157,7 +157,7 @@ def throttle(
 
     def walk_block(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POSITION)
-        return pdf[kept_mask(pdf[_MICROS].to_numpy(), gap, int(pdf["entry"].iloc[0]))][df.columns]
+        return pdf[kept_mask(pdf[_MICROS].to_numpy(), gap, int(pdf["entry"].iloc[0]))][columns]
 
     walked = placed.join(entries, [k, BLOCK]).groupBy(k, BLOCK).applyInPandas(walk_block, df.schema)
     return done.unionByName(walked)

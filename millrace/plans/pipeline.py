@@ -10,7 +10,7 @@ from millrace.operators.hampel import hampel, hampel_incremental, reclean
 from millrace.operators.histogram import flow_histogram
 from millrace.operators.reshape import pivot_measures
 from millrace.operators.stats import batch_mark, device_stats
-from millrace.schemas import DEVICE, ETL_STATE, HISTOGRAM_BINS, MEASURE_COLUMNS, TIME
+from millrace.schemas import DEVICE, ETL_STATE, HISTOGRAM_BINS, TIME
 from millrace.session import stage
 from millrace.sinks.tables import (
     DATE,
@@ -41,17 +41,17 @@ class Tables:
 
 
 def add_measurements(tables: Tables, raw: DataFrame) -> DataFrame:
-    """Pivot new raw rows and insert the keys that are not stored; returns the inserted rows."""
+    """Pivot new raw rows and insert the keys that are not stored; returns the stored rows of all keys."""
     spark = raw.sparkSession
-    wide = pivot_measures(raw).select("device_id", "ts_s", *MEASURE_COLUMNS.values())
-    wide = stage(with_date(wide, "ts_s"), "wide")
+    keys = ["device_id", "ts_s"]
+    wide = stage(with_date(pivot_measures(raw).drop("parent_timestampMsec"), "ts_s"), "wide")
     path = tables.path("measurements")
+    rows = wide
     if table_exists(spark, path):
-        stored = touched(spark.read.parquet(path), wide)
-        wide = stage(insert_ignore(stored, wide, ["device_id", "ts_s"], ["ts_s"]), "insert")
-    ordered = wide.hint("rebalance", DATE).sortWithinPartitions(DATE, "device_id", "ts_s")
+        rows = stage(insert_ignore(touched(spark.read.parquet(path), wide), wide, keys, ["ts_s"]), "insert")
+    ordered = rows.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys)
     ordered.write.mode("append").partitionBy(DATE).parquet(path)
-    return wide
+    return touched(spark.read.parquet(path), wide).join(wide.select(*keys), keys, "left_semi")
 
 
 def clean_increment(tables: Tables, wide: DataFrame, **options) -> None:
@@ -74,10 +74,7 @@ def process_batch(tables: Tables, raw: DataFrame, **options) -> None:
     """
     spark = raw.sparkSession
     raw = stage(raw, "batch")
-    add_measurements(tables, raw)
-    keys = stage(with_date(pivot_measures(raw).select("device_id", "ts_s"), "ts_s"), "batch-keys")
-    stored = touched(tables.read(spark, "measurements"), keys)
-    clean_increment(tables, stored.join(keys.drop(DATE), ["device_id", "ts_s"], "left_semi"), **options)
+    clean_increment(tables, add_measurements(tables, raw), **options)
     state_path = tables.path("etl_state")
     exists = table_exists(spark, state_path)
     state = spark.read.parquet(state_path) if exists else spark.createDataFrame([], ETL_STATE)
