@@ -14,8 +14,6 @@ from millrace.plans.pipeline import Tables, process_batch
 from millrace.schemas import DEVICE, MEASURE_COLUMNS, RAW, THROTTLE_SECONDS, TIME, VALUE
 from millrace.sinks.tables import DATE, with_date
 
-_DAY_MS = 24 * 60 * 60 * 1000
-
 
 def with_lateness(df: DataFrame, t: str = TIME, delay: str = "1 day") -> DataFrame:
     """Rows later than ``delay`` behind the newest one are left out of stateful operators."""
@@ -23,16 +21,18 @@ def with_lateness(df: DataFrame, t: str = TIME, delay: str = "1 day") -> DataFra
 
 
 def throttle_stream(
-    df: DataFrame, k: str = DEVICE, t: str = TIME, min_seconds: float = THROTTLE_SECONDS, idle_ms: int = _DAY_MS
+    df: DataFrame, k: str = DEVICE, t: str = TIME, min_seconds: float = THROTTLE_SECONDS, delay: str = "1 day"
 ) -> DataFrame:
-    """Streaming twin of ``throttle``. State is one number per device, dropped after ``idle_ms`` without rows.
+    """Streaming twin of ``throttle``. State is one number per device.
 
-    A device's rows of one micro-batch are sorted together; the source's rate options
-    (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``) bound that.
+    Once the watermark is a whole gap past a device's last kept row, any row still to come is kept
+    anyway, so the state is dropped then and cannot grow with devices that fell silent. A device's
+    rows of one micro-batch are sorted together; the source's rate options (``maxOffsetsPerTrigger``,
+    ``maxFilesPerTrigger``) bound that.
     """
     gap = round(min_seconds * 1_000_000)
     columns = df.columns
-    timed = df.withColumn("_us", F.unix_micros(F.col(t).cast("timestamp")))
+    timed = with_lateness(df.withColumn("_us", F.unix_micros(t)), t, delay)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -45,11 +45,11 @@ def throttle_stream(
         if keep.any():
             last = int(us[keep][-1])
         state.update((last,))
-        state.setTimeoutDuration(idle_ms)
+        state.setTimeoutTimestamp(max((last + gap) // 1000, state.getCurrentWatermarkMs()) + 1)
         yield rows.loc[keep, columns]
 
     return timed.groupBy(k).applyInPandasWithState(
-        step, df.schema, "last bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+        step, df.schema, "last bigint", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
