@@ -89,14 +89,17 @@ def hampel(
         return done
 
     judged = over_series(rows, k, order, radius, compute, hot_rows)
+    return _judge(judged, [k, *order, *keep], n_sigma, F.col("_inner") if edge == "keep" else None)
+
+
+def _judge(rows: DataFrame, carried: Sequence[str], n_sigma: float, allowed: Column | None = None) -> DataFrame:
+    """Flag and replace, given ``_v``, ``window_median`` and ``window_mad``; bound the numbers for storage."""
     threshold = F.col("window_mad") * (n_sigma * MAD_SCALE)
     flag = F.coalesce(F.abs(F.col("_v") - F.col("window_median")) > threshold, F.lit(False))
-    if edge == "keep":
-        flag = flag & F.col("_inner")
-    return judged.withColumn(OUTLIER, flag).select(
-        k,
-        *order,
-        *keep,
+    if allowed is not None:
+        flag = flag & allowed
+    return rows.withColumn(OUTLIER, flag).select(
+        *carried,
         clamp("_v").alias(RAW_VALUE),
         clamp(F.when(F.col(OUTLIER), F.col("window_median")).otherwise(F.col("_v"))).alias(VALUE),
         OUTLIER,
@@ -110,36 +113,73 @@ def reclean(clean: DataFrame, k: str = DEVICE, t: str = TIME, **options) -> Data
     return hampel(clean.filter(F.col(t).isNotNull()), k, t, RAW_VALUE, **options)
 
 
-def lookback(target: DataFrame, new: DataFrame, rows: int, k: str = DEVICE, t: str = TIME) -> DataFrame:
+_FEW_DEVICES = 1_000
+
+
+def _day_counts(target: DataFrame, span: DataFrame, k: str, t: str) -> DataFrame:
+    return (
+        target.select(k, F.to_date(t).alias("_day"))
+        .join(span, k)
+        .groupBy(k, "_day", "_from", "_to")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+
+
+def _recent_first(
+    target: DataFrame, span: DataFrame, rows: int, k: str, t: str, date: str, recent_days: int
+) -> DataFrame:
+    """Day counts from the recent partitions; older ones are read only for devices that lack rows there."""
+    earliest = span.agg(F.min("_from")).head()[0]
+    if earliest is None:
+        return _day_counts(target.limit(0), span, k, t)
+    edge = F.date_sub(F.lit(earliest), recent_days)
+    recent = stage(_day_counts(target.filter(F.col(date) >= edge), span, k, t), "recent-days")
+    have = recent.filter("_day < _from").groupBy(k).agg(F.sum("_n").alias("_have"))
+    lacking = span.join(have, k, "left").filter(F.coalesce("_have", F.lit(0)) < rows).drop("_have")
+    found = lacking.head(_FEW_DEVICES + 1)
+    if not found:
+        return recent
+    older = target.filter(F.col(date) < edge)
+    if len(found) <= _FEW_DEVICES:
+        older = older.filter(F.col(k).isin([row[k] for row in found]))
+        lacking = span.sparkSession.createDataFrame(found, lacking.schema)
+    return recent.unionByName(_day_counts(older, lacking, k, t))
+
+
+def lookback(
+    target: DataFrame, new: DataFrame, rows: int, k: str = DEVICE, t: str = TIME, date: str | None = None,
+    recent_days: int = 31,
+) -> DataFrame:
     """Stored rows that can see, or be seen by, the new rows through at most ``rows`` neighbours.
 
     Days are counted first, so no device is ranked row by row: per device the answer is every
     whole day that touches the span of the new rows or is needed to reach ``rows`` rows on either
-    side of it. Whole days are more than needed, never less, and stay contiguous.
+    side of it. Whole days are more than needed, never less, and stay contiguous. If ``target`` is
+    partitioned by ``date`` (the day of ``t``), only the partitions in question are read.
     """
     span = stage(
         new.groupBy(k).agg(F.to_date(F.min(t)).alias("_from"), F.to_date(F.max(t)).alias("_to")), "span"
     )
-    days = (
-        target.select(k, F.to_date(t).alias("_day"))
-        .join(span, k)
-        .groupBy(k, "_day", "_from", "_to")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    earlier = Window.partitionBy(k).orderBy(F.col("_day").desc())
-    later = Window.partitionBy(k).orderBy("_day")
+    if date is None:
+        days = _day_counts(target, span, k, t)
+    else:
+        days = _recent_first(target, span, rows, k, t, date, recent_days)
     above, below = F.col("_day") < F.col("_from"), F.col("_day") > F.col("_to")
-    exclusive = (Window.unboundedPreceding, -1)
-    between = F.coalesce(F.sum(F.when(above, F.col("_n"))).over(earlier.rowsBetween(*exclusive)), F.lit(0))
-    beyond = F.coalesce(F.sum(F.when(below, F.col("_n"))).over(later.rowsBetween(*exclusive)), F.lit(0))
+    others = (Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(k).orderBy(F.col("_day").desc()).rowsBetween(*others)
+    later = Window.partitionBy(k).orderBy("_day").rowsBetween(*others)
+    nearer_above = F.coalesce(F.sum(F.when(above, F.col("_n"))).over(earlier), F.lit(0))
+    nearer_below = F.coalesce(F.sum(F.when(below, F.col("_n"))).over(later), F.lit(0))
     needed = (
-        days.withColumn("_before", between)
-        .withColumn("_after", beyond)
-        .filter(F.when(above, F.col("_before") < rows).when(below, F.col("_after") < rows).otherwise(True))
+        days.withColumns({"_above": nearer_above, "_below": nearer_below})
+        .filter(F.when(above, F.col("_above") < rows).when(below, F.col("_below") < rows).otherwise(True))
         .groupBy(k)
         .agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
     )
     reach = stage(needed, "reach")
+    if date is not None:
+        first, last = reach.agg(F.min("_first"), F.max("_last")).head()
+        target = target.filter(F.col(date).between(F.lit(first), F.lit(last)))
     return (
         target.join(reach, k)
         .filter(F.to_date(t).between(F.col("_first"), F.col("_last")))
@@ -149,7 +189,7 @@ def lookback(target: DataFrame, new: DataFrame, rows: int, k: str = DEVICE, t: s
 
 def hampel_incremental(
     target: DataFrame, new: DataFrame, k: str = DEVICE, t: str = TIME, v: str = RAW_VALUE,
-    window: int = HAMPEL_WINDOW, n_sigma: float = HAMPEL_SIGMA, hot_rows: int = HOT_ROWS,
+    window: int = HAMPEL_WINDOW, n_sigma: float = HAMPEL_SIGMA, hot_rows: int = HOT_ROWS, date: str | None = None,
 ) -> DataFrame:
     """Rows to upsert after ``new`` arrives, so that the stored series equals a full recompute.
 
@@ -159,17 +199,17 @@ def hampel_incremental(
     """
     radius = window // 2
     keys = new.select(k, t)
-    stored = lookback(target.select(k, t, F.col(RAW_VALUE).alias("_v")), keys, 2 * radius, k, t)
+    stored = lookback(target, keys, 2 * radius, k, t, date).select(k, t, F.col(RAW_VALUE).alias("_v"))
     rows = (
         stored.join(keys, [k, t], "left_anti")
         .withColumn("_new", F.lit(False))
-        .unionByName(new.select(k, t, F.col(v).alias("_v"), F.lit(True).alias("_new")))
+        .unionByName(new.select(k, t, nan_to_null(F.col(v).cast("double")).alias("_v"), F.lit(True).alias("_new")))
     )
 
-    def near(rows: DataFrame, part: list[str]) -> DataFrame:
+    def compute(rows: DataFrame, part: list[str]) -> DataFrame:
         frame = Window.partitionBy(*part).orderBy(t).rowsBetween(-radius, radius)
-        return rows.withColumn("_touched", F.max("_new").over(frame))
+        seen = rows.withColumn("_touched", F.max("_new").over(frame))
+        return _with_mad(_with_median(seen, part, [t], "_v", radius)).drop("_frame")
 
-    touched = over_series(rows, k, [t], radius, near, hot_rows)
-    cleaned = hampel(touched, k, t, "_v", window, n_sigma, keep=["_touched"], hot_rows=hot_rows)
-    return cleaned.filter("_touched").drop("_touched")
+    cleaned = over_series(rows, k, [t], radius, compute, hot_rows).filter("_touched")
+    return _judge(cleaned, [k, t], n_sigma)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, with_position
+from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, split_hot, with_position
 from millrace.schemas import DECIMATE_ABOVE, DECIMATE_TO, DEVICE, TIME, VALUE
 
 _CHUNK = 65_536
@@ -68,22 +68,27 @@ def _reduce(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[keep]
 
 
-def _walk(pdf: pd.DataFrame, samples: int) -> pd.DataFrame:
-    pdf = pdf.sort_values(POSITION, ignore_index=True)
-    bucket = pdf["_bucket"].to_numpy()
-    x, y = pdf["_x"].to_numpy(), pdf["_y"].to_numpy()
+def _choose(x: np.ndarray, y: np.ndarray, bucket: np.ndarray, sx: np.ndarray, sy: np.ndarray, n: np.ndarray) -> list[int]:
+    """Row numbers of the sample: first row, the largest triangle of each inner bucket, last row."""
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    ends = np.append(starts[1:], len(pdf))
-    count = np.add.reduceat(pdf["_n"].to_numpy(), starts)
-    mean_x = np.add.reduceat(pdf["_sx"].to_numpy(), starts) / count
-    mean_y = np.add.reduceat(pdf["_sy"].to_numpy(), starts) / count
+    ends = np.append(starts[1:], len(bucket))
+    count = np.add.reduceat(n, starts)
+    mean_x = np.add.reduceat(sx, starts) / count
+    mean_y = np.add.reduceat(sy, starts) / count
     chosen = [0]
     for i in range(1, len(starts) - 1):
         a, rows = chosen[-1], slice(starts[i], ends[i])
         area = np.abs((x[a] - mean_x[i + 1]) * (y[rows] - y[a]) - (x[a] - x[rows]) * (mean_y[i + 1] - y[a]))
-        chosen.append(starts[i] + int(np.argmax(area)))
-    chosen.append(len(pdf) - 1)
-    return pdf.iloc[chosen]
+        chosen.append(int(starts[i] + np.argmax(area)))
+    chosen.append(len(bucket) - 1)
+    return chosen
+
+
+def bucket_of(position, length, samples: int):
+    """Bucket 0..samples - 1 of a row: the ends stand alone, an inner row is in bucket
+    ceil(position / width) with width = (length - 2) / (samples - 2), computed in integers."""
+    inner = (position * (samples - 2) - 1) // (length - 2) + 1
+    return np.where(position == 0, 0, np.where(position == length - 1, samples - 1, inner))
 
 
 def lttb(
@@ -96,40 +101,47 @@ def lttb(
     """
     if samples < 3:
         raise ValueError("samples must be at least 3")
-    points = df.select(k, t, *tie, F.col(v).cast("double").alias("_y")).filter(
-        F.col(t).isNotNull() & (F.abs("_y") < float("inf"))
-    )
-    placed = with_position(points, k, [t, *tie], hot_rows).drop(*tie)
-    long_enough = (F.col(TOTAL) > threshold) & (F.col(TOTAL) > samples)
-    short = placed.filter(~long_enough).select(k, t, F.col("_y").alias(v))
-    # Bucket of an inner point = ceil(position / width) with width = (length - 2) / (samples - 2), in integers.
-    inner = F.expr(f"({POSITION} * {samples - 2} - 1) div ({TOTAL} - 2)") + 1
-    bucket = F.when(F.col(POSITION) == 0, 0).when(F.col(POSITION) == F.col(TOTAL) - 1, samples - 1).otherwise(inner)
-    ready = placed.filter(long_enough).select(
-        k,
-        t,
-        POSITION,
-        TOTAL,
-        bucket.cast("long").alias("_bucket"),
+    points = df.select(
+        k, t, *tie, F.col(v).cast("double").alias("_y"),
         (F.unix_micros(F.col(t).cast("timestamp")) / 1000.0).alias("_x"),
-        "_y",
-        (F.unix_micros(F.col(t).cast("timestamp")) / 1000.0).alias("_sx"),
-        F.col("_y").alias("_sy"),
+    ).filter(F.col("_x").isNotNull() & (F.abs("_y") < float("inf")))
+    cold, hot = split_hot(points, k, hot_rows)
+    schema = f"`{k}` {df.schema[k].dataType.simpleString()}, `{t}` {df.schema[t].dataType.simpleString()}, `{v}` double"
+    limit = max(threshold, samples)
+
+    def output(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({k: pdf[k], t: pdf[t], v: pdf["_y"]})
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) <= limit:
+            return output(pdf)
+        pdf = pdf.sort_values(["_x", *tie], kind="stable", ignore_index=True)
+        x, y, n = pdf["_x"].to_numpy(), pdf["_y"].to_numpy(), len(pdf)
+        return output(pdf.iloc[_choose(x, y, bucket_of(np.arange(n), n, samples), x, y, np.ones(n))])
+
+    done = cold.groupBy(k).applyInPandas(whole, schema)
+    if hot is None:
+        return done
+
+    placed = with_position(hot, k, ["_x", *tie], hot_rows=0)
+    short = placed.filter(F.col(TOTAL) <= limit).select(k, t, F.col("_y").alias(v))
+    ready = placed.filter(F.col(TOTAL) > limit).select(
+        k, t, POSITION, TOTAL, F.floor(F.col(POSITION) / chunk).cast("long").alias("_part"),
+        F.lit(0).cast("long").alias("_bucket"), "_x", "_y", F.col("_x").alias("_sx"), F.col("_y").alias("_sy"),
         F.lit(1).cast("long").alias("_n"),
     )
-    hulls = (
-        ready.withColumn("_part", F.floor(F.col(POSITION) / chunk).cast("long"))
-        .groupBy(k, "_part")
-        .applyInPandas(lambda pdf: _reduce(pdf).drop(columns="_part"), ready.schema)
-    )
-    # A bucket that spans many chunks is reduced once more, so that no device brings too many points.
-    many = F.col(TOTAL) > chunk * samples
-    wide = hulls.filter(many).groupBy(k, "_bucket").applyInPandas(_reduce, ready.schema)
-    candidates = hulls.filter(~many).unionByName(wide)
-    schema = f"`{k}` {df.schema[k].dataType.simpleString()}, `{t}` {df.schema[t].dataType.simpleString()}, `{v}` double"
+
+    def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf["_bucket"] = bucket_of(pdf[POSITION].to_numpy(), pdf[TOTAL].to_numpy(), samples)
+        return _reduce(pdf)
+
+    # A bucket can span many chunks: its hull points are reduced once more before the walk.
+    hulls = ready.groupBy(k, "_part").applyInPandas(reduce_chunk, ready.schema)
+    corners = hulls.groupBy(k, "_bucket").applyInPandas(_reduce, ready.schema)
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        chosen = _walk(pdf, samples)
-        return pd.DataFrame({k: chosen[k], t: chosen[t], v: chosen["_y"]})
+        pdf = pdf.sort_values(POSITION, ignore_index=True)
+        columns = [pdf[c].to_numpy() for c in ("_x", "_y", "_bucket", *_SUMS)]
+        return output(pdf.iloc[_choose(*columns)])
 
-    return short.unionByName(candidates.groupBy(k).applyInPandas(walk, schema))
+    return done.unionByName(short).unionByName(corners.groupBy(k).applyInPandas(walk, schema))

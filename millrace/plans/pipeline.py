@@ -60,7 +60,7 @@ def clean_increment(tables: Tables, wide: DataFrame, **options) -> None:
     new = wide.select(F.col("device_id").alias(DEVICE), F.col("ts_s").alias(TIME), F.col(FLOW).alias("flow"))
     path = tables.path("clean")
     if table_exists(spark, path):
-        rows = hampel_incremental(spark.read.parquet(path), new, v="flow", **options)
+        rows = hampel_incremental(spark.read.parquet(path), new, v="flow", date=DATE, **options)
     else:
         rows = hampel(new, v="flow", **options)
     upsert_dated(path, rows.withColumn("updated_at", F.current_timestamp()), [DEVICE, TIME], ["updated_at"], TIME)

@@ -293,6 +293,7 @@ def oracle_sql() -> dict[str, str]:
         "throttle": THROTTLE,
         "throttle_blocked": THROTTLE,
         "lttb": lttb(12, 20),
+        "lttb_blocked": lttb(12, 20),
         "rolling_mean_24h": f"""WITH {EVENTS} SELECT {DEVICE}, {TIME}, {r6(f'''avg({VALUE}) OVER (
             PARTITION BY {DEVICE} ORDER BY {TIME} RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)''')}
             AS rolling_mean FROM events_clean""",

@@ -284,6 +284,10 @@ def q_lttb(spark: SparkSession, sf: str) -> DataFrame:
     return lttb(events_clean(spark, sf), samples=12, threshold=20)
 
 
+def q_lttb_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    return lttb(events_clean(spark, sf), samples=12, threshold=20, hot_rows=50, chunk=24)
+
+
 def q_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return freshness_query(customer_devices(spark, sf), events_clean(spark, sf), as_of())
 
@@ -476,6 +480,7 @@ def queries() -> dict:
         "throttle": q_throttle,
         "throttle_blocked": q_throttle_blocked,
         "lttb": q_lttb,
+        "lttb_blocked": q_lttb_blocked,
         "rolling_mean_24h": q_rolling_mean_24h,
         "latest_per_device": lambda s, d: latest_per_device(events_clean(s, d)),
         "devices_in": lambda s, d: devices_in(events_clean(s, d)),
