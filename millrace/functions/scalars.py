@@ -19,7 +19,8 @@ def nan_to_null(c) -> Column:
 
 def clamp(c, low: float = -CLAMP_LIMIT, high: float = CLAMP_LIMIT) -> Column:
     """Bound a reading; null stays null and NaN becomes null."""
-    return F.when(~F.isnan(col(c)), F.least(F.greatest(col(c), F.lit(low)), F.lit(high)))
+    number = col(c).isNotNull() & ~F.isnan(col(c))  # greatest and least skip nulls
+    return F.when(number, F.least(F.greatest(col(c), F.lit(low)), F.lit(high)))
 
 
 def finite(c) -> Column:

@@ -5,8 +5,10 @@ shuffle, numbered, cut into blocks of equal size, and every block gets copies of
 rows on either side, so that a window function sees the same neighbours as in the whole series.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,3 +125,47 @@ def over_series(
     )
     blocked = compute(spread, [k, BLOCK]).filter("_core").select(*done.columns)
     return done.unionByName(blocked)
+
+
+def per_key_rows(
+    df: DataFrame, k: str, order: Sequence[str], choose: Callable[[pa.Table, int, int], np.ndarray], columns: list[str]
+) -> DataFrame:
+    """Keep the rows that ``choose(table, start, end)`` picks from each key's run of rows, in order.
+
+    Shuffle and sort stay in the JVM; the Arrow batches of a partition are cut into whole keys, so
+    many small devices share one call. Meant for keys that fit a task (see ``split_hot``).
+    """
+    schema = df.select(*columns).schema
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_keys(batches, k):
+            starts = key_starts(table.column(k))
+            ends = np.append(starts[1:], table.num_rows)
+            rows = np.concatenate([choose(table, start, end) for start, end in zip(starts, ends)])
+            yield from table.select(columns).take(pa.array(rows)).to_batches()
+
+    return df.repartition(k).sortWithinPartitions(k, *order).mapInArrow(pick, schema)
+
+
+def key_starts(keys: pa.ChunkedArray) -> np.ndarray:
+    """Row numbers at which a new key begins."""
+    codes = keys.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    return np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+
+
+def _whole_keys(batches: Iterator[pa.RecordBatch], k: str) -> Iterator[pa.Table]:
+    pending: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = batch.column(k)
+        if pending and pending[-1].column(k)[-1].as_py() != keys[0].as_py():
+            yield pa.Table.from_batches(pending)
+            pending = []
+        last = int(key_starts(pa.chunked_array([keys]))[-1])
+        if last:
+            yield pa.Table.from_batches([*pending, batch.slice(0, last)])
+            pending = []
+        pending.append(batch.slice(last))
+    if pending:
+        yield pa.Table.from_batches(pending)

@@ -9,15 +9,16 @@ the sequential walk over the buckets then sees only those few points.
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, split_hot, with_position
+from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, key_starts, per_key_rows, split_hot, with_position
 from millrace.schemas import DECIMATE_ABOVE, DECIMATE_TO, DEVICE, TIME, VALUE
 
 _CHUNK = 65_536
 _SMALL = 64
+_BUNDLE = 16
 _SUMS = ["_sx", "_sy", "_n"]
 
 
@@ -50,22 +51,23 @@ def hull_rows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Hull points of every bucket in a chunk; the bucket's sums move to its first point."""
-    pdf = pdf.sort_values(POSITION, ignore_index=True)
-    bucket = pdf["_bucket"].to_numpy()
-    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    ends = np.append(starts[1:], len(pdf))
-    keep = np.ones(len(pdf), dtype=bool)
-    x, y = pdf["_x"].to_numpy(), pdf["_y"].to_numpy()
+def _reduce(table: pa.Table) -> pa.Table:
+    """Hull points of every bucket in the rows of a device; the bucket's sums move to its first point."""
+    table = table.sort_by(POSITION)
+    n = table.num_rows
+    starts = key_starts(table.column("_bucket"))
+    ends = np.append(starts[1:], n)
+    keep = np.ones(n, dtype=bool)
+    x, y = table.column("_x").to_numpy(), table.column("_y").to_numpy()
     for start, end in zip(starts, ends):
         if end - start > _SMALL:
             keep[start:end] = hull_rows(x[start:end] - x[start], y[start:end])
     for c in _SUMS:
-        sums = np.zeros(len(pdf), dtype=pdf[c].dtype)
-        sums[starts] = np.add.reduceat(pdf[c].to_numpy(), starts)
-        pdf[c] = sums
-    return pdf[keep]
+        values = table.column(c).to_numpy()
+        sums = np.zeros(n, dtype=values.dtype)
+        sums[starts] = np.add.reduceat(values, starts)
+        table = table.set_column(table.column_names.index(c), c, pa.array(sums))
+    return table.filter(pa.array(keep))
 
 
 def _choose(x: np.ndarray, y: np.ndarray, bucket: np.ndarray, sx: np.ndarray, sy: np.ndarray, n: np.ndarray) -> list[int]:
@@ -109,17 +111,14 @@ def lttb(
     schema = f"`{k}` {df.schema[k].dataType.simpleString()}, `{t}` {df.schema[t].dataType.simpleString()}, `{v}` double"
     limit = max(threshold, samples)
 
-    def output(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({k: pdf[k], t: pdf[t], v: pdf["_y"]})
-
-    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) <= limit:
-            return output(pdf)
-        pdf = pdf.sort_values(["_x", *tie], kind="stable", ignore_index=True)
-        x, y, n = pdf["_x"].to_numpy(), pdf["_y"].to_numpy(), len(pdf)
-        return output(pdf.iloc[_choose(x, y, bucket_of(np.arange(n), n, samples), x, y, np.ones(n))])
+    def sample(table: pa.Table, start: int, end: int) -> np.ndarray:
+        n = int(end - start)
+        if n <= limit:
+            return np.arange(start, end)
+        x, y = (table.column(c).slice(start, n).to_numpy() for c in ("_x", "_y"))
+        return start + np.array(_choose(x, y, bucket_of(np.arange(n), n, samples), x, y, np.ones(n)))
 
-    done = cold.groupBy(k).applyInPandas(whole, schema)
+    done = per_key_rows(cold, k, ["_x", *tie], sample, [k, t, "_y"]).withColumnRenamed("_y", v)
     if hot is None:
         return done
 
@@ -131,17 +130,18 @@ def lttb(
         F.lit(1).cast("long").alias("_n"),
     )
 
-    def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf["_bucket"] = bucket_of(pdf[POSITION].to_numpy(), pdf[TOTAL].to_numpy(), samples)
-        return _reduce(pdf)
+    def reduce_chunk(table: pa.Table) -> pa.Table:
+        buckets = bucket_of(table.column(POSITION).to_numpy(), table.column(TOTAL).to_numpy(), samples)
+        return _reduce(table.set_column(table.column_names.index("_bucket"), "_bucket", pa.array(buckets)))
 
     # A bucket can span many chunks: its hull points are reduced once more before the walk.
-    hulls = ready.groupBy(k, "_part").applyInPandas(reduce_chunk, ready.schema)
-    corners = hulls.groupBy(k, "_bucket").applyInPandas(_reduce, ready.schema)
+    hulls = ready.groupBy(k, "_part").applyInArrow(reduce_chunk, ready.schema)
+    bundle = F.floor(F.col("_bucket") / _BUNDLE).cast("long")
+    corners = hulls.withColumn("_part", bundle).groupBy(k, "_part").applyInArrow(_reduce, ready.schema)
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POSITION, ignore_index=True)
-        columns = [pdf[c].to_numpy() for c in ("_x", "_y", "_bucket", *_SUMS)]
-        return output(pdf.iloc[_choose(*columns)])
+    def walk(table: pa.Table) -> pa.Table:
+        table = table.sort_by(POSITION)
+        chosen = _choose(*[table.column(c).to_numpy() for c in ("_x", "_y", "_bucket", *_SUMS)])
+        return table.take(pa.array(chosen)).select([k, t, "_y"]).rename_columns([k, t, v])
 
-    return done.unionByName(short).unionByName(corners.groupBy(k).applyInPandas(walk, schema))
+    return done.unionByName(short).unionByName(corners.groupBy(k).applyInArrow(walk, schema))

@@ -8,11 +8,11 @@ in parallel, the summaries are composed in a tree, and each block then starts fr
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import BLOCK, HOT_ROWS, POSITION, in_blocks, split_hot
+from millrace.operators.layout import BLOCK, HOT_ROWS, POSITION, in_blocks, per_key_rows, split_hot
 from millrace.schemas import DEVICE, THROTTLE_SECONDS, TIME
 from millrace.session import stage
 
@@ -24,12 +24,12 @@ _MICROS = "_us"
 def kept_mask(us: np.ndarray, gap: int, last: int = _NONE_KEPT) -> np.ndarray:
     """Which of the sorted times (micros) are kept, given the last time kept before them."""
     keep = np.zeros(len(us), dtype=bool)
-    follower = np.searchsorted(us, us + gap)
+    # a follower of itself (gap 0) still moves on
+    follower = np.maximum(np.searchsorted(us, us + gap), np.arange(1, len(us) + 1)).tolist()
     i = int(np.searchsorted(us, last + gap))
     while i < len(us):
         keep[i] = True
-        # a follower of itself (gap 0) still moves on
-        i = max(int(follower[i]), i + 1)
+        i = follower[i]
     return keep
 
 
@@ -77,49 +77,44 @@ def _steps_schema(k: str, kind: str) -> str:
     return f"`{k}` {kind}, {BLOCK} bigint, upto array<bigint>, leave array<bigint>, reach bigint"
 
 
-def _steps_row(k: str, device: np.ndarray, block: int, steps: tuple) -> pd.DataFrame:
+def _steps_row(k: str, device: pa.ChunkedArray, block: int, steps: tuple) -> pa.Table:
     upto, leave, reach = steps
-    return pd.DataFrame({k: device, BLOCK: [block], "upto": [upto], "leave": [leave], "reach": [reach]})
+    return pa.table({k: device, BLOCK: [block], "upto": [upto.tolist()], "leave": [leave.tolist()], "reach": [reach]})
+
+
+def _walk_steps(table: pa.Table, k: str, gap: int, last: int) -> pa.Table:
+    """(device, block, entry) of the blocks of one device, given the state before the first."""
+    table = table.sort_by(BLOCK)
+    entries = []
+    for upto, leave in zip(table.column("upto"), table.column("leave")):
+        entries.append(last)
+        last = int(apply_steps(np.array([last]), gap, upto.values.to_numpy(), leave.values.to_numpy())[0])
+    return pa.table({k: table.column(k), BLOCK: table.column(BLOCK), "entry": pa.array(entries, pa.int64())})
 
 
 def _entry_states(steps: DataFrame, k: str, gap: int, blocks: int) -> DataFrame:
     """(device, block, entry): the last kept time before each block."""
     kind = steps.schema[k].dataType.simpleString()
     entry_schema = f"`{k}` {kind}, {BLOCK} bigint, entry bigint"
-
-    def walk(pdf: pd.DataFrame, last: int) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLOCK)
-        entries = []
-        for upto, leave in zip(pdf["upto"], pdf["leave"]):
-            entries.append(last)
-            last = int(apply_steps(np.array([last]), gap, np.asarray(upto), np.asarray(leave))[0])
-        return pd.DataFrame({k: pdf[k].to_numpy(), BLOCK: pdf[BLOCK].to_numpy(), "entry": entries})
-
     if blocks <= _FAN:
-        return steps.groupBy(k).applyInPandas(lambda pdf: walk(pdf, _NONE_KEPT), entry_schema)
+        return steps.groupBy(k).applyInArrow(lambda table: _walk_steps(table, k, gap, _NONE_KEPT), entry_schema)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLOCK)
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.sort_by(BLOCK)
         whole = None
-        for upto, leave, reach in zip(pdf["upto"], pdf["leave"], pdf["reach"]):
-            step = (np.asarray(upto), np.asarray(leave), int(reach))
+        for upto, leave, reach in zip(table.column("upto"), table.column("leave"), table.column("reach")):
+            step = (upto.values.to_numpy(), leave.values.to_numpy(), reach.as_py())
             whole = step if whole is None else compose(whole, step, gap)
-        return _steps_row(k, pdf[k].iloc[:1].to_numpy(), int(pdf["_group"].iloc[0]), whole)
+        return _steps_row(k, table.column(k).slice(0, 1), table.column("_group")[0].as_py(), whole)
+
+    def enter(children: pa.Table, parent: pa.Table) -> pa.Table:
+        return _walk_steps(children, k, gap, parent.column("entry")[0].as_py())
 
     grouped = steps.withColumn("_group", F.floor(F.col(BLOCK) / _FAN).cast("long"))
-    parents = stage(
-        grouped.groupBy(k, "_group").applyInPandas(fold, _steps_schema(k, kind)), "throttle-steps"
-    )
+    parents = stage(grouped.groupBy(k, "_group").applyInArrow(fold, _steps_schema(k, kind)), "throttle-steps")
     entered = _entry_states(parents, k, gap, -(-blocks // _FAN)).withColumnRenamed(BLOCK, "_group")
-
-    def enter(children: pd.DataFrame, parent: pd.DataFrame) -> pd.DataFrame:
-        return walk(children, int(parent["entry"].iloc[0]))
-
-    return (
-        grouped.groupBy(k, "_group")
-        .cogroup(entered.groupBy(k, "_group"))
-        .applyInPandas(enter, entry_schema)
-    )
+    pairs = grouped.groupBy(k, "_group").cogroup(entered.groupBy(k, "_group"))
+    return pairs.applyInArrow(enter, entry_schema)
 
 
 def throttle(
@@ -128,36 +123,36 @@ def throttle(
 ) -> DataFrame:
     """Rows kept by the throttle, in event time: at least ``min_seconds`` after the last kept row."""
     gap = round(min_seconds * 1_000_000)
+    columns = df.columns
     timed = df.filter(F.col(t).isNotNull()).withColumn(_MICROS, F.unix_micros(F.col(t).cast("timestamp")))
     cold, hot = split_hot(timed, k, hot_rows)
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([_MICROS, *tie], kind="stable")
-        return pdf[kept_mask(pdf[_MICROS].to_numpy(), gap)].drop(columns=_MICROS)
+    def walk(table: pa.Table, start: int, end: int) -> np.ndarray:
+        us = table.column(_MICROS).slice(start, end - start).to_numpy()
+        return start + np.flatnonzero(kept_mask(us, gap))
 
-    done = cold.groupBy(k).applyInPandas(walk, df.schema)
+    done = per_key_rows(cold, k, [_MICROS, *tie], walk, columns)
     if hot is None:
         return done
 
     placed = in_blocks(hot, k, [_MICROS, *tie], hot_rows)
     blocks = placed.agg(F.max(BLOCK)).head()[0] + 1
-    kind, columns = df.schema[k].dataType.simpleString(), df.columns
+    kind = df.schema[k].dataType.simpleString()
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        steps = block_steps(np.sort(pdf[_MICROS].to_numpy()), gap)
-        return _steps_row(k, pdf[k].iloc[:1].to_numpy(), int(pdf[BLOCK].iloc[0]), steps)
+    def summarise(table: pa.Table) -> pa.Table:
+        steps = block_steps(np.sort(table.column(_MICROS).to_numpy()), gap)
+        return _steps_row(k, table.column(k).slice(0, 1), table.column(BLOCK)[0].as_py(), steps)
 
     steps = stage(
-        placed.select(k, BLOCK, _MICROS)
-        .groupBy(k, BLOCK)
-        .applyInPandas(summarise, _steps_schema(k, kind)),
+        placed.select(k, BLOCK, _MICROS).groupBy(k, BLOCK).applyInArrow(summarise, _steps_schema(k, kind)),
         "throttle-steps",
     )
     entries = stage(_entry_states(steps, k, gap, blocks), "throttle-entries")
 
-    def walk_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POSITION)
-        return pdf[kept_mask(pdf[_MICROS].to_numpy(), gap, int(pdf["entry"].iloc[0]))][columns]
+    def walk_block(table: pa.Table) -> pa.Table:
+        table = table.sort_by(POSITION)
+        mask = kept_mask(table.column(_MICROS).to_numpy(), gap, table.column("entry")[0].as_py())
+        return table.select(columns).filter(pa.array(mask))
 
-    walked = placed.join(entries, [k, BLOCK]).groupBy(k, BLOCK).applyInPandas(walk_block, df.schema)
+    walked = placed.join(entries, [k, BLOCK]).groupBy(k, BLOCK).applyInArrow(walk_block, df.schema)
     return done.unionByName(walked)

@@ -277,7 +277,7 @@ def q_throttle(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_throttle_blocked(spark: SparkSession, sf: str) -> DataFrame:
-    return throttle(events_clean(spark, sf), min_seconds=DAY, hot_rows=16).select(DEVICE, TIME, VALUE)
+    return throttle(events_clean(spark, sf), min_seconds=DAY, hot_rows=40).select(DEVICE, TIME, VALUE)
 
 
 def q_lttb(spark: SparkSession, sf: str) -> DataFrame:
