@@ -1,6 +1,7 @@
 """Table writers over parquet: append, insert-or-ignore, upsert, marks, full refresh, CSV."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,11 @@ DATE = "event_date"
 _MANY_DATES = 1_000
 
 
-def _column_list(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in keys]
+def without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``other``; a null (an open window end) equals a null."""
+    taken = other.select(*[F.col(c).alias(f"_taken_{c}") for c in keys])
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_taken_{c}")) for c in keys])
+    return df.join(taken, equal, "left_anti")
 
 
 def with_date(df: DataFrame, t: str) -> DataFrame:
@@ -31,7 +35,7 @@ def append_raw(df: DataFrame, path: str, t: str = "parent_timestampMsec") -> Non
 def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows of ``new`` to append: one per key (the first along ``order``), keys already stored left out."""
     first = dedupe_first(new, keys, order)
-    return first.join(target.select(*keys), list(keys), "left_anti")
+    return without(first, target, keys)
 
 
 def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
@@ -40,8 +44,7 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequ
     Stored rows are only anti-joined with the new keys, never sorted or grouped.
     """
     last = dedupe_last(new, keys, version)
-    kept = target.join(last.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(last, allowMissingColumns=True)
+    return without(target, last, keys).unionByName(last, allowMissingColumns=True)
 
 
 def upsert_snapshot(path: str, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> None:

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,16 @@ from millrace.schemas import DEVICE, OUTLIER, RAW_VALUE, VALUE
 FILE, LINE = "_file", "_line"
 
 
+def _file_path() -> Column:
+    """Path of the row's file; the metadata column holds it URL-encoded, with a plus sign as is."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
     """(header line, its files): the first line of every file, found by one pass over the text."""
     lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("file"),
+        _file_path().alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
         "value",
@@ -48,7 +54,7 @@ def read_by_header(spark: SparkSession, paths: Sequence[str], required: Sequence
             .csv(files)
             .select(
                 "*",
-                F.col("_metadata.file_path").alias(FILE),
+                _file_path().alias(FILE),
                 F.struct(
                     F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_block_start").alias("start"),
@@ -60,15 +66,16 @@ def read_by_header(spark: SparkSession, paths: Sequence[str], required: Sequence
 
 
 def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The non-empty paths that exist, in the given order; a pattern gives its matches by name."""
+    """The non-empty paths that exist, in full and in the given order; a pattern gives its matches by name."""
     jvm, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     found = []
     for path in filter(None, paths):
         p = jvm.Path(path)
+        files = p.getFileSystem(conf)
         if any(c in path for c in "*?"):
-            found += sorted(match.getPath().toString() for match in p.getFileSystem(conf).globStatus(p) or [])
-        elif p.getFileSystem(conf).exists(p):
-            found.append(path)
+            found += sorted(match.getPath().toString() for match in files.globStatus(p) or [])
+        elif files.exists(p):
+            found.append(files.makeQualified(p).toString())
     return found
 
 
@@ -79,16 +86,12 @@ def read_device_csv(
 
     Empty paths, missing files and files without both columns are skipped; None if none is left.
     """
-    paths = existing(spark, list(mapping.values()))
-    rows = read_by_header(spark, paths, [t, v]) if paths else None
+    names = [(device, path) for device, given in mapping.items() for path in existing(spark, [given])]
+    rows = read_by_header(spark, sorted({path for _, path in names}), [t, v]) if names else None
     if rows is None:
         return None
-    names = [(device, path.rsplit("/", 1)[-1]) for device, path in mapping.items() if path in paths]
-    devices = spark.createDataFrame(names, f"`{k}` string, _name string")
-    name = F.url_decode(F.regexp_replace(F.element_at(F.split(FILE, "/"), -1), r"\+", "%2B"))
-    return rows.withColumn("_name", name).join(devices, "_name").select(
-        k, t, F.col(v).try_cast("double").alias(v), LINE
-    )
+    devices = spark.createDataFrame(names, f"`{k}` string, {FILE} string")
+    return rows.join(devices, FILE).select(k, t, F.col(v).try_cast("double").alias(v), LINE)
 
 
 def read_clean_csv(spark: SparkSession, folder: str) -> DataFrame | None:
