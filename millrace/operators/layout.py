@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import stage
 
@@ -127,42 +128,62 @@ def over_series(
     return done.unionByName(blocked)
 
 
-def per_key_rows(
-    df: DataFrame, k: str, order: Sequence[str], choose: Callable[[pa.Table, int, int], np.ndarray], columns: list[str]
+def over_sorted(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str],
+    compute: Callable[[pa.Table, np.ndarray], pa.Table],
+    schema: T.StructType,
 ) -> DataFrame:
-    """Keep the rows that ``choose(table, start, end)`` picks from each key's run of rows, in order.
+    """Vectorised work on ordered series: ``compute(table, starts)`` gets whole series, one after another.
 
-    Shuffle and sort stay in the JVM; the Arrow batches of a partition are cut into whole keys, so
-    many small devices share one call. Meant for keys that fit a task (see ``split_hot``).
+    Shuffle and sort stay in the JVM. The Arrow batches of a partition are cut between series, so many
+    small series share one call; a series must fit a task (see ``split_hot`` and ``over_series``).
     """
-    schema = df.select(*columns).schema
+    part = list(part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_keys(batches, part):
+            yield from compute(table, key_starts(table, part)).to_batches()
+
+    return df.repartition(*part).sortWithinPartitions(*part, *order).mapInArrow(run, schema)
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_keys(batches, k):
-            starts = key_starts(table.column(k))
-            ends = np.append(starts[1:], table.num_rows)
-            rows = np.concatenate([choose(table, start, end) for start, end in zip(starts, ends)])
-            yield from table.select(columns).take(pa.array(rows)).to_batches()
 
-    return df.repartition(k).sortWithinPartitions(k, *order).mapInArrow(pick, schema)
+def per_key_rows(
+    df: DataFrame, k: str, order: Sequence[str], choose: Callable[[pa.Table, int, int], np.ndarray], columns: list[str]
+) -> DataFrame:
+    """Keep the rows that ``choose(table, start, end)`` picks from each key's run of rows, in order."""
 
+    def pick(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        ends = np.append(starts[1:], table.num_rows)
+        rows = np.concatenate([choose(table, start, end) for start, end in zip(starts, ends)])
+        return table.select(columns).take(pa.array(rows))
 
-def key_starts(keys: pa.ChunkedArray) -> np.ndarray:
+    return over_sorted(df, [k], order, pick, df.select(*columns).schema)
+
+
+def key_starts(table: pa.Table, part: Sequence[str]) -> np.ndarray:
     """Row numbers at which a new key begins."""
-    codes = keys.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-    return np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    changed = np.zeros(table.num_rows, dtype=bool)
+    changed[0] = True
+    for c in part:
+        codes = table.column(c).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        changed[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(changed)
+
 
+def _whole_keys(batches: Iterator[pa.RecordBatch], part: Sequence[str]) -> Iterator[pa.Table]:
+    def key(batch: pa.RecordBatch, row: int) -> list:
+        return [batch.column(c)[row].as_py() for c in part]
 
-def _whole_keys(batches: Iterator[pa.RecordBatch], k: str) -> Iterator[pa.Table]:
     pending: list[pa.RecordBatch] = []
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        keys = batch.column(k)
-        if pending and pending[-1].column(k)[-1].as_py() != keys[0].as_py():
+        if pending and key(pending[-1], -1) != key(batch, 0):
             yield pa.Table.from_batches(pending)
             pending = []
-        last = int(key_starts(pa.chunked_array([keys]))[-1])
+        last = int(key_starts(pa.Table.from_batches([batch]), part)[-1])
         if last:
             yield pa.Table.from_batches([*pending, batch.slice(0, last)])
             pending = []

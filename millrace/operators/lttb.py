@@ -55,7 +55,7 @@ def _reduce(table: pa.Table) -> pa.Table:
     """Hull points of every bucket in the rows of a device; the bucket's sums move to its first point."""
     table = table.sort_by(POSITION)
     n = table.num_rows
-    starts = key_starts(table.column("_bucket"))
+    starts = key_starts(table, ["_bucket"])
     ends = np.append(starts[1:], n)
     keep = np.ones(n, dtype=bool)
     x, y = table.column("_x").to_numpy(), table.column("_y").to_numpy()
