@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from millrace.functions.scalars import clamp, nan_to_null
 from millrace.operators.layout import HOT_ROWS, over_series, over_sorted
 from millrace.schemas import DEVICE, HAMPEL_SIGMA, HAMPEL_WINDOW, MAD_SCALE, OUTLIER, RAW_VALUE, TIME, VALUE
-from millrace.session import stage
+from millrace.session import bounded, stage
 
 
 _FRAME_FIELDS = [
@@ -189,14 +189,10 @@ def _recent_first(
     recent = stage(_day_counts(target.filter(F.col(date) >= edge), span, k, t), "recent-days")
     have = recent.filter("_day < _from").groupBy(k).agg(F.sum("_n").alias("_have"))
     lacking = span.join(have, k, "left").filter(F.coalesce("_have", F.lit(0)) < rows).drop("_have")
-    found = lacking.head(_FEW_DEVICES + 1)
-    if not found:
+    lacking = bounded(lacking, "lacking", _FEW_DEVICES)
+    if lacking is None:
         return recent
-    older = target.filter(F.col(date) < edge)
-    if len(found) <= _FEW_DEVICES:
-        older = older.filter(F.col(k).isin([row[k] for row in found]))
-        lacking = span.sparkSession.createDataFrame(found, lacking.schema)
-    return recent.unionByName(_day_counts(older, lacking, k, t))
+    return recent.unionByName(_day_counts(target.filter(F.col(date) < edge), lacking, k, t))
 
 
 def lookback(

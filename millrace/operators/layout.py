@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import stage
+from millrace.session import bounded, stage
 
 HOT_ROWS = 2_000_000
-_FEW_HOT_KEYS = 10_000
 _ROW_IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 POSITION, TOTAL = "_pos", "_total"
@@ -25,13 +24,8 @@ BLOCK = "_block"
 
 def hot_keys(df: DataFrame, k: str, hot_rows: int) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows, or None. One map-side combined count over ``k``."""
-    counts = df.groupBy(k).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select(k)
-    found = counts.head(_FEW_HOT_KEYS + 1)
-    if not found:
-        return None
-    if len(found) > _FEW_HOT_KEYS:
-        return stage(counts, "hot-keys")
-    return df.sparkSession.createDataFrame(found, counts.schema)
+    counts = df.groupBy(k).agg(F.count(F.lit(1)).alias("_rows"))
+    return bounded(counts.filter(F.col("_rows") > hot_rows).select(k), "hot-keys")
 
 
 def split_hot(df: DataFrame, k: str, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
@@ -41,7 +35,7 @@ def split_hot(df: DataFrame, k: str, hot_rows: int) -> tuple[DataFrame, DataFram
     return df.join(hot, k, "left_anti"), df.join(hot, k, "left_semi")
 
 
-def _sorted_positions(df: DataFrame, k: str, order: Sequence[str]) -> DataFrame:
+def sorted_positions(df: DataFrame, k: str, order: Sequence[str]) -> DataFrame:
     """Number the rows of each key 0.. along ``order`` without one task per key.
 
     The range shuffle samples the sort key, so a hot key spreads over many partitions; the last
@@ -85,12 +79,12 @@ def with_position(df: DataFrame, k: str, order: Sequence[str], hot_rows: int = H
     )
     if hot is None:
         return placed
-    return placed.unionByName(_sorted_positions(hot, k, order).select(*placed.columns))
+    return placed.unionByName(sorted_positions(hot, k, order).select(*placed.columns))
 
 
 def in_blocks(df: DataFrame, k: str, order: Sequence[str], block_rows: int) -> DataFrame:
     """Add ``_pos``, ``_total`` and ``_block`` = equal runs of ``block_rows`` rows per key."""
-    placed = _sorted_positions(df, k, order)
+    placed = sorted_positions(df, k, order)
     return placed.withColumn(BLOCK, F.floor(F.col(POSITION) / block_rows).cast("long"))
 
 
@@ -139,6 +133,10 @@ def over_sorted(
 
     Shuffle and sort stay in the JVM. The Arrow batches of a partition are cut between series, so many
     small series share one call; a series must fit a task (see ``split_hot`` and ``over_series``).
+
+    The shuffle is by a hash of ``part``, not by ``part``: a plain repartition is dropped where a join
+    below already shuffles by the same columns, and if that join is then turned into a broadcast join
+    at run time, its partitions are read by map task and a series is torn apart.
     """
     part = list(part)
 
@@ -146,7 +144,7 @@ def over_sorted(
         for table in _whole_keys(batches, part):
             yield from compute(table, key_starts(table, part)).to_batches()
 
-    return df.repartition(*part).sortWithinPartitions(*part, *order).mapInArrow(run, schema)
+    return df.repartition(F.xxhash64(*part)).sortWithinPartitions(*part, *order).mapInArrow(run, schema)
 
 
 def per_key_rows(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, key_starts, per_key_rows, split_hot, with_position
+from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, key_starts, per_key_rows, sorted_positions, split_hot
 from millrace.schemas import DECIMATE_ABOVE, DECIMATE_TO, DEVICE, TIME, VALUE
 
 _CHUNK = 65_536
@@ -107,10 +107,9 @@ def lttb(
         k, t, *tie, F.col(v).cast("double").alias("_y"),
         (F.unix_micros(F.col(t).cast("timestamp")) / 1000.0).alias("_x"),
     ).filter(F.col("_x").isNotNull() & (F.abs("_y") < float("inf")))
-    cold, hot = split_hot(points, k, hot_rows)
-    schema = f"`{k}` {df.schema[k].dataType.simpleString()}, `{t}` {df.schema[t].dataType.simpleString()}, `{v}` double"
     limit = max(threshold, samples)
-
+    cold, hot = split_hot(points, k, max(hot_rows, limit))
+    schema = f"`{k}` {df.schema[k].dataType.simpleString()}, `{t}` {df.schema[t].dataType.simpleString()}, `{v}` double"
     def sample(table: pa.Table, start: int, end: int) -> np.ndarray:
         n = int(end - start)
         if n <= limit:
@@ -122,9 +121,7 @@ def lttb(
     if hot is None:
         return done
 
-    placed = with_position(hot, k, ["_x", *tie], hot_rows=0)
-    short = placed.filter(F.col(TOTAL) <= limit).select(k, t, F.col("_y").alias(v))
-    ready = placed.filter(F.col(TOTAL) > limit).select(
+    ready = sorted_positions(hot, k, ["_x", *tie]).select(
         k, t, POSITION, TOTAL, F.floor(F.col(POSITION) / chunk).cast("long").alias("_part"),
         F.lit(0).cast("long").alias("_bucket"), "_x", "_y", F.col("_x").alias("_sx"), F.col("_y").alias("_sy"),
         F.lit(1).cast("long").alias("_n"),
@@ -144,4 +141,4 @@ def lttb(
         chosen = _choose(*[table.column(c).to_numpy() for c in ("_x", "_y", "_bucket", *_SUMS)])
         return table.take(pa.array(chosen)).select([k, t, "_y"]).rename_columns([k, t, v])
 
-    return done.unionByName(short).unionByName(corners.groupBy(k).applyInArrow(walk, schema))
+    return done.unionByName(corners.groupBy(k).applyInArrow(walk, schema))

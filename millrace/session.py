@@ -50,6 +50,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, label: str, few: int = 10_000) -> DataFrame | None:
+    """``df`` for use as the small side of joins; None if it is empty.
+
+    At most ``few`` rows come back as a local relation, which the planner broadcasts; a longer result
+    is staged and joined as its size allows.
+    """
+    found = df.limit(few + 1).toArrow()
+    if found.num_rows == 0:
+        return None
+    return stage(df, label) if found.num_rows > few else df.sparkSession.createDataFrame(found, df.schema)
+
+
 def drop_staged(spark: SparkSession) -> bool:
     """Delete the intermediate tables; call when no result that reads them is needed any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/staged")

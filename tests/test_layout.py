@@ -6,13 +6,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators import layout, throttle as throttle_module
+from millrace.operators import layout
+from millrace.operators import throttle as throttle_module
 from millrace.operators.hampel import hampel
-from millrace.operators.layout import BLOCK, POSITION, TOTAL, in_blocks, with_position
+from millrace.operators.layout import BLOCK, POSITION, TOTAL, in_blocks, per_key_rows, with_position
 from millrace.operators.lttb import _choose, bucket_of, hull_rows, lttb
 from millrace.operators.series import insert_gap_markers, rolling_mean, stride_sample
 from millrace.operators.throttle import apply_steps, block_steps, compose, kept_mask, throttle
 from millrace.schemas import DEVICE, TIME, VALUE
+from millrace.session import bounded
 from workload.tables import events_clean
 
 SF = "/root/testdata/sf0.01"
@@ -68,11 +70,19 @@ def test_positions_and_blocks_of_identical_copies(spark):
     assert sizes == [1000] * 5
 
 
-def test_hot_keys_beyond_the_driver_limit(spark, monkeypatch):
-    monkeypatch.setattr(layout, "_FEW_HOT_KEYS", 3)
+def test_bounded_results(spark):
     df = spark.range(200).select((F.col("id") % 10).alias("k"))
-    assert layout.hot_keys(df, "k", 5).count() == 10
     assert layout.hot_keys(df, "k", 20) is None
+    assert layout.hot_keys(df, "k", 5).count() == 10
+    assert bounded(df, "few", 199).count() == 200 and bounded(df, "few", 200).count() == 200
+
+
+def test_series_stay_whole_after_a_join_that_becomes_a_broadcast(spark):
+    """The planner drops a repartition above a join on the same key; a later broadcast would tear the series."""
+    df = spark.range(40_000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
+    other = spark.sparkContext.parallelize([(100,)]).toDF("k bigint")
+    out = per_key_rows(df.join(other, "k", "left_anti"), "k", ["t"], lambda table, a, b: np.arange(a, a + 1), ["k", "t"])
+    assert sorted((r["k"], r["t"]) for r in out.collect()) == [(i, i) for i in range(7)]
 
 
 def greedy(times, gap):
