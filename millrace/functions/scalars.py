@@ -30,9 +30,16 @@ def finite(c) -> Column:
 
 
 def bucket(v, low, high, bins: int) -> Column:
-    """Equal-width bin 1..bins; a value at ``high`` gives bins + 1, a flat range gives 1."""
+    """Equal-width bin 1..bins; a value below ``low`` gives 0, one at ``high`` bins + 1; a flat range gives 1.
+
+    The share of the range is taken first and then scaled, as in PostgreSQL; the built-in
+    ``width_bucket`` multiplies first, which rounds some values on a bin edge to the other side.
+    """
     v, low, high = col(v), col(low), col(high)
-    return F.when(low == high, 1).otherwise(F.width_bucket(v, low, high, F.lit(bins))).cast("int")
+    share = (v - low) / (high - low)
+    inner = F.least(F.floor(share * bins), F.lit(bins - 1)) + 1
+    index = F.when(v < low, 0).when(v >= high, bins + 1).otherwise(inner)
+    return F.when(low == high, 1).when(v.isNotNull(), index).cast("int")
 
 
 def bin_edges(low, high, index, bins: int) -> tuple[Column, Column]:
