@@ -11,7 +11,7 @@ from millrace.operators.histogram import flow_histogram
 from millrace.operators.reshape import pivot_measures
 from millrace.operators.stats import batch_mark, device_stats
 from millrace.schemas import DEVICE, ETL_STATE, HISTOGRAM_BINS, TIME
-from millrace.session import stage
+from millrace.session import stage, staging_scope
 from millrace.sinks.tables import (
     DATE,
     advance_mark,
@@ -72,8 +72,12 @@ def process_batch(tables: Tables, raw: DataFrame, **options) -> None:
     The cleaning takes the whole batch, not only the rows that were inserted, so a run that stopped
     between the two steps is made good by the next attempt.
     """
+    with staging_scope(raw.sparkSession):
+        _process(tables, stage(raw, "batch"), **options)
+
+
+def _process(tables: Tables, raw: DataFrame, **options) -> None:
     spark = raw.sparkSession
-    raw = stage(raw, "batch")
     clean_increment(tables, add_measurements(tables, raw), **options)
     state_path = tables.path("etl_state")
     exists = table_exists(spark, state_path)
@@ -85,21 +89,22 @@ def refresh_derived(
     tables: Tables, devices: DataFrame, as_of: Column | None = None, bins: int = HISTOGRAM_BINS, hours: int = 0
 ) -> None:
     """Statistics and histogram are upserted, the duration curve is rebuilt."""
-    clean = tables.read(devices.sparkSession, "clean")
+    spark = devices.sparkSession
+    clean = tables.read(spark, "clean")
     as_of = F.current_timestamp() if as_of is None else as_of
-    upsert_snapshot(tables.path("stats"), device_stats(clean, as_of), [DEVICE], ["updated_at"])
-    upsert_snapshot(
-        tables.path("histogram"),
-        flow_histogram(clean, bins, hours, as_of),
-        [DEVICE, "window_start", "window_end", "bin_index"],
-        ["updated_at"],
-    )
-    refresh_table(duration_curve(clean, devices), tables.path("duration_curve"))
+    with staging_scope(spark):
+        upsert_snapshot(tables.path("stats"), device_stats(clean, as_of), [DEVICE], ["updated_at"])
+        upsert_snapshot(
+            tables.path("histogram"),
+            flow_histogram(clean, bins, hours, as_of),
+            [DEVICE, "window_start", "window_end", "bin_index"],
+            ["updated_at"],
+        )
+        refresh_table(duration_curve(clean, devices), tables.path("duration_curve"))
 
 
 def regenerate_clean(tables: Tables, spark: SparkSession, **options) -> None:
     """Filter every stored series again and upsert the result."""
-    rows = reclean(tables.read(spark, "clean"), **options)
-    upsert_dated(
-        tables.path("clean"), rows.withColumn("updated_at", F.current_timestamp()), [DEVICE, TIME], ["updated_at"], TIME
-    )
+    with staging_scope(spark):
+        rows = reclean(tables.read(spark, "clean"), **options).withColumn("updated_at", F.current_timestamp())
+        upsert_dated(tables.path("clean"), rows, [DEVICE, TIME], ["updated_at"], TIME)

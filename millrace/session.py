@@ -1,7 +1,10 @@
 """Session settings and the shared scratch area for intermediate tables."""
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +40,32 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scope = threading.local()
+
+
+def _staging_folder(spark: SparkSession) -> str:
+    own = f"{scratch_root(spark)}/staged/{spark.sparkContext.applicationId}"
+    return getattr(_scope, "folder", None) or own
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end; for jobs that have written their result by then."""
+    outer = getattr(_scope, "folder", None)
+    folder = f"{_staging_folder(spark)}/scope-{uuid.uuid4().hex}"
+    _scope.folder = folder
+    try:
+        yield
+    finally:
+        _scope.folder = outer
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and read it back.
 
@@ -45,7 +74,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     to a (skew-split) sort-merge join for a large one.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{_staging_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -63,6 +92,5 @@ def bounded(df: DataFrame, label: str, few: int = 10_000) -> DataFrame | None:
 
 
 def drop_staged(spark: SparkSession) -> bool:
-    """Delete the intermediate tables; call when no result that reads them is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/staged")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete this application's intermediate tables, once no result that reads them is needed any more."""
+    return _delete(spark, _staging_folder(spark))

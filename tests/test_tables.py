@@ -1,5 +1,6 @@
 """CSV sources and table writers."""
 
+import pathlib
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,7 @@ from millrace.operators.dedupe import merge_series
 from millrace.operators.filters import newer_than
 from millrace.plans.queries import clean_files
 from millrace.schemas import DEVICE, ETL_STATE, RAW_VALUE, TABLES, TIME, VALUE
-from millrace.session import drop_staged, scratch_root, stage
+from millrace.session import drop_staged, scratch_root, stage, staging_scope
 from millrace.sinks.tables import (
     advance_mark,
     append_raw,
@@ -131,3 +132,8 @@ def test_staged_tables_are_dropped(spark):
     assert spark.conf.get("spark.checkpoint.dir") == scratch_root(spark)
     assert drop_staged(spark)
     assert stage(spark.range(3).withColumn("y", F.lit(1)), "x").count() == 3
+    with staging_scope(spark):
+        inner = stage(spark.range(3), "x")
+        folder = inner.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert pathlib.Path(folder).is_dir()
+    assert not pathlib.Path(folder).exists()
