@@ -5,13 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import OP7_SQL, op7_decontaminate
+from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_ngram_jaccard": op3_ngram_jaccard,
         "op7_decontaminate": op7_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": OP7_SQL}
+    return {"op3_ngram_jaccard": OP3_SQL, "op7_decontaminate": OP7_SQL}
