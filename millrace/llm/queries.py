@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import OP7_SQL, op7_decontaminate
 from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
+from millrace.llm.quality import op10_quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op7_decontaminate": op7_decontaminate,
+        "op10_quality": op10_quality,
     }
 
 
