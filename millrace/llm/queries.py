@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import OP7_SQL, op7_decontaminate
 from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
+from millrace.llm.mtree import OP4_SQL, op4_mtree_topk
 from millrace.llm.pii import op9_pii
 from millrace.llm.quality import op10_quality
 
@@ -13,6 +14,7 @@ from millrace.llm.quality import op10_quality
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_ngram_jaccard": op3_ngram_jaccard,
+        "op4_mtree_topk": op4_mtree_topk,
         "op7_decontaminate": op7_decontaminate,
         "op9_pii": op9_pii,
         "op10_quality": op10_quality,
@@ -20,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard": OP3_SQL, "op7_decontaminate": OP7_SQL}
+    return {"op3_ngram_jaccard": OP3_SQL, "op4_mtree_topk": OP4_SQL, "op7_decontaminate": OP7_SQL}
