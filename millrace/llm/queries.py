@@ -9,6 +9,7 @@ from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
 from millrace.llm.mtree import OP4_SQL, op4_mtree_topk
 from millrace.llm.pii import op9_pii
 from millrace.llm.quality import op10_quality
+from millrace.llm.tokens import op8_token_ids
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_mtree_topk": op4_mtree_topk,
         "op7_decontaminate": op7_decontaminate,
+        "op8_token_ids": op8_token_ids,
         "op9_pii": op9_pii,
         "op10_quality": op10_quality,
     }
