@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import OP7_SQL, op7_decontaminate
 from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
+from millrace.llm.mixing import op1_mixing
 from millrace.llm.mtree import OP4_SQL, op4_mtree_topk
 from millrace.llm.pii import op9_pii
 from millrace.llm.quality import op10_quality
@@ -14,6 +15,7 @@ from millrace.llm.tokens import op8_token_ids
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": op1_mixing,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_mtree_topk": op4_mtree_topk,
         "op7_decontaminate": op7_decontaminate,
