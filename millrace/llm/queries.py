@@ -10,12 +10,14 @@ from millrace.llm.mixing import op1_mixing
 from millrace.llm.mtree import OP4_SQL, op4_mtree_topk
 from millrace.llm.pii import op9_pii
 from millrace.llm.quality import op10_quality
+from millrace.llm.substrings import op2_substring_dedup
 from millrace.llm.tokens import op8_token_ids
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_mtree_topk": op4_mtree_topk,
         "op7_decontaminate": op7_decontaminate,
