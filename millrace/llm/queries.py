@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.chat import OP5_SQL, op5_tool_calls
 from millrace.llm.decontaminate import OP7_SQL, op7_decontaminate
 from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
 from millrace.llm.mixing import op1_mixing
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_substring_dedup": op2_substring_dedup,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_mtree_topk": op4_mtree_topk,
+        "op5_tool_calls": op5_tool_calls,
         "op7_decontaminate": op7_decontaminate,
         "op8_token_ids": op8_token_ids,
         "op9_pii": op9_pii,
@@ -28,4 +30,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard": OP3_SQL, "op4_mtree_topk": OP4_SQL, "op7_decontaminate": OP7_SQL}
+    return {"op3_ngram_jaccard": OP3_SQL, "op4_mtree_topk": OP4_SQL, "op5_tool_calls": OP5_SQL, "op7_decontaminate": OP7_SQL}
