@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.chat import OP5_SQL, op5_tool_calls
 from millrace.llm.decontaminate import OP7_SQL, op7_decontaminate
 from millrace.llm.jaccard_join import OP3_SQL, op3_ngram_jaccard
+from millrace.llm.langid import op6_language
 from millrace.llm.mixing import op1_mixing
 from millrace.llm.mtree import OP4_SQL, op4_mtree_topk
 from millrace.llm.pii import op9_pii
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_mtree_topk": op4_mtree_topk,
         "op5_tool_calls": op5_tool_calls,
+        "op6_language": op6_language,
         "op7_decontaminate": op7_decontaminate,
         "op8_token_ids": op8_token_ids,
         "op9_pii": op9_pii,
