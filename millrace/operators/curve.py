@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.scalars import finite
 from millrace.operators.stats import daily_mean
 from millrace.schemas import CURVE_LEVEL, DEVICE, TIME, VALUE
 
@@ -41,7 +42,7 @@ def interpolate_at(
     """
     point = F.struct(F.col(xc).alias("x"), F.col(yc).alias("y"))
     sides = (
-        curve.filter(F.col(xc).isNotNull() & F.col(yc).isNotNull())
+        curve.filter(finite(xc).isNotNull() & finite(yc).isNotNull())
         .groupBy(k)
         .agg(
             F.max(F.when(F.col(xc) <= x, point)).alias("lo"),

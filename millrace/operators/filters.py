@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import interval, parse_ts
+from millrace.functions.scalars import finite, interval, parse_ts
 from millrace.operators.stats import latest_per_device
 from millrace.schemas import CURVE_FLOOR, DEVICE, OUTLIER, RANGE_INTERVALS, TIME
 from millrace.session import stage
@@ -59,7 +59,8 @@ def histogram_window(as_of: Column, hours: int, kind: str = "timestamp") -> tupl
 
 
 def curve_floor(df: DataFrame, v: str = "flow_avg_day", floor: float = CURVE_FLOOR) -> DataFrame:
-    return df.filter(F.col(v) >= floor)
+    """Finite values from ``floor`` on."""
+    return df.filter(finite(v) >= floor)
 
 
 def split_active(devices: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -32,7 +32,9 @@ def split_hot(df: DataFrame, k: str, hot_rows: int) -> tuple[DataFrame, DataFram
     hot = hot_keys(df, k, hot_rows)
     if hot is None:
         return df, None
-    return df.join(hot, k, "left_anti"), df.join(hot, k, "left_semi")
+    hot = hot.select(F.col(k).alias("_hot"))
+    same = F.col(k).eqNullSafe(F.col("_hot"))
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
 def sorted_positions(df: DataFrame, k: str, order: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import interval
+from millrace.functions.scalars import finite, interval
 from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, over_series, split_hot, with_position
 from millrace.schemas import DEVICE, LONG_GAP, LONG_GAP_RANGES, RANGE_MEAN, SHORT_GAP, TIME, VALUE
 
@@ -41,12 +41,12 @@ def insert_gap_markers(
     df: DataFrame, range_key: str, decimated: bool, k: str = DEVICE, t: str = TIME, v: str = VALUE,
     tie: Sequence[str] = (), hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Finite points plus a break (null value, ``is_gap``) halfway into each gap whose next value is present.
+    """Finite points plus a break (null value, ``is_gap``) halfway into each gap whose next value is present and finite.
 
     A decimated series gets breaks only in the long ranges.
     """
     order = [t, *tie]
-    rows = _with_next(df.select(k, *order, v).filter(F.col(t).isNotNull()), k, order, [t, v], hot_rows)
+    rows = _with_next(df.select(k, *order, finite(v).alias(v)).filter(F.col(t).isNotNull()), k, order, [t, v], hot_rows)
     following = F.col(f"_next_{t}")
     wide = (
         (following - F.col(t) > interval(gap_threshold(range_key)))
@@ -57,7 +57,7 @@ def insert_gap_markers(
     halfway = F.col(t) + (following - F.col(t)) / 2
     marker = F.struct(halfway.alias("t"), F.lit(None).cast("double").alias("v"), F.lit(True).alias("is_gap"))
     return (
-        rows.filter(F.col(v).isNotNull() & ~F.isnan(v))
+        rows.filter(F.col(v).isNotNull())
         .select(k, F.explode(F.when(wide, F.array(point, marker)).otherwise(F.array(point))).alias("p"))
         .select(k, F.col("p.t").alias(t), F.col("p.v").alias(v), F.col("p.is_gap").alias("is_gap"))
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import interval
+from millrace.functions.scalars import finite, interval
 from millrace.schemas import DEVICE, OUTLIER, STATS_WINDOWS, TIME, VALUE
 from millrace.session import stage
 
@@ -85,12 +85,12 @@ def value_bounds(
     df: DataFrame, columns: tuple[str, ...] = (VALUE,), mean: DataFrame | None = None, kind: str = "series",
     k: str = DEVICE,
 ) -> DataFrame:
-    """Axis limits. ``mean`` has (device, mean). The top is 1.1 x the greatest of 0, values and mean.
+    """Axis limits of the finite values. ``mean`` has (device, mean). The top is 1.1 x the greatest of 0, values and mean.
 
     kind "series": bottom -50 if a value is negative, else 0; kind "curve": the smaller of minimum and 0.
     """
-    lowest = [F.min(c) for c in columns]
-    highest = [F.max(c) for c in columns]
+    lowest = [F.min(finite(c)) for c in columns]
+    highest = [F.max(finite(c)) for c in columns]
     bounds = df.groupBy(k).agg(
         (F.least(*lowest) if len(columns) > 1 else lowest[0]).alias("_low"),
         (F.greatest(*highest) if len(columns) > 1 else highest[0]).alias("_high"),

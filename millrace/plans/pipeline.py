@@ -67,7 +67,8 @@ def clean_increment(tables: Tables, wide: DataFrame, **options) -> None:
 
 
 def process_batch(tables: Tables, raw: DataFrame, **options) -> None:
-    """One increment of the chain. A repeated run is harmless.
+    """One increment of the chain. A repeated run is harmless. Rows without an instant go to the table ``quarantine``:
+    they have no key to be stored under.
 
     The cleaning takes the whole batch, not only the rows that were inserted, so a run that stopped
     between the two steps is made good by the next attempt.
@@ -78,6 +79,11 @@ def process_batch(tables: Tables, raw: DataFrame, **options) -> None:
 
 def _process(tables: Tables, raw: DataFrame, **options) -> None:
     spark = raw.sparkSession
+    timed = F.col("parent_timestampMsec").isNotNull()
+    lost = raw.filter(~timed)
+    if not lost.isEmpty():
+        lost.write.mode("append").parquet(tables.path("quarantine"))
+    raw = raw.filter(timed)
     clean_increment(tables, add_measurements(tables, raw), **options)
     state_path = tables.path("etl_state")
     exists = table_exists(spark, state_path)

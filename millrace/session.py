@@ -1,8 +1,11 @@
 """Session settings and the shared scratch area for intermediate tables."""
 
+import pathlib
+import re
 import tempfile
 import threading
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -32,9 +35,11 @@ def build_session(app: str = "millrace", master: str | None = None, **extra: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -50,7 +55,10 @@ def _staging_folder(spark: SparkSession) -> str:
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete what is staged inside the block at its end; for jobs that have written their result by then."""
+    """Delete what is staged inside the block when it ends well; for jobs that have written their result by then.
+
+    After an error the staged tables stay: one of them may hold the only copy of a result.
+    """
     outer = getattr(_scope, "folder", None)
     folder = f"{_staging_folder(spark)}/scope-{uuid.uuid4().hex}"
     _scope.folder = folder
@@ -58,7 +66,7 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.folder = outer
-        _delete(spark, folder)
+    _delete(spark, folder)
 
 
 def _delete(spark: SparkSession, folder: str) -> bool:
@@ -94,3 +102,39 @@ def bounded(df: DataFrame, label: str, few: int = 10_000) -> DataFrame | None:
 def drop_staged(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables, once no result that reads them is needed any more."""
     return _delete(spark, _staging_folder(spark))
+
+
+def replace_folder(df: DataFrame, path: str) -> None:
+    """Write ``df`` in the place of the table at ``path``, which it may read.
+
+    The new files are written beside it and take its name by renaming, so a failed write leaves the old table whole.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}", f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    system = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder(path)) and not system.rename(folder(path), folder(old)):
+        raise OSError(f"cannot move {path} aside; the new table is in {fresh}")
+    if not system.rename(folder(fresh), folder(path)):
+        system.rename(folder(old), folder(path))
+        raise OSError(f"cannot move the new table from {fresh} to {path}")
+    system.delete(folder(old), True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application; for runs from a folder that they do not share."""
+    context = spark.sparkContext
+    if _shipped.get("application") == context.applicationId:
+        return
+    root = pathlib.Path(__file__).resolve().parent.parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="millrace-ship-")) / "millrace.zip"
+    with zipfile.ZipFile(target, "w") as bundle:
+        for folder in ("millrace", "workload"):
+            for file in sorted((root / folder).rglob("*.py")):
+                bundle.write(file, file.relative_to(root))
+    context.addPyFile(str(target))
+    _shipped["application"] = context.applicationId
+
+
+_shipped: dict[str, str] = {}

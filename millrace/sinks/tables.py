@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedupe import dedupe_first, dedupe_last
 from millrace.schemas import DEVICE, ETL_STATE, TABLES
-from millrace.session import stage
+from millrace.session import replace_folder, stage
 
 DATE = "event_date"
 _MANY_DATES = 1_000
@@ -51,10 +51,10 @@ def upsert_snapshot(path: str, new: DataFrame, keys: Sequence[str], version: Seq
     """Upsert into a small unpartitioned table (statistics, histogram, state)."""
     spark = new.sparkSession
     if table_exists(spark, path):
-        new = stage(upsert(spark.read.parquet(path), new, keys, version), "snapshot")
+        new = upsert(spark.read.parquet(path), new, keys, version)
     else:
         new = dedupe_last(new, keys, version)
-    new.write.mode("overwrite").parquet(path)
+    replace_folder(new, path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -75,7 +75,8 @@ def upsert_dated(path: str, new: DataFrame, keys: Sequence[str], version: Sequen
     """Upsert into a table partitioned by date: only the touched dates are rewritten.
 
     The key contains ``t``, so a key never moves to another date. The result is staged first: a path
-    is never overwritten while it is read, and a repeated run writes the same partitions again.
+    is never overwritten while it is read, and a repeated run writes the same partitions again. While the dates are
+    swapped, a reader may miss their files.
     """
     spark = new.sparkSession
     dated = stage(with_date(new, t), "increment")
@@ -119,8 +120,8 @@ def advance_mark(state: DataFrame, job: str, marks: DataFrame) -> DataFrame:
 
 
 def refresh_table(df: DataFrame, path: str) -> None:
-    """Rebuild a derived table."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Rebuild a derived table; the old one stays until the new one is complete."""
+    replace_folder(df, path)
 
 
 def write_csv(df: DataFrame, path: str, k: str | None = DEVICE) -> None:

@@ -23,7 +23,11 @@ def with_lateness(df: DataFrame, t: str = TIME, delay: str = "1 day") -> DataFra
 def throttle_stream(
     df: DataFrame, k: str = DEVICE, t: str = TIME, min_seconds: float = THROTTLE_SECONDS, delay: str = "1 day"
 ) -> DataFrame:
-    """Streaming twin of ``throttle``. State is one number per device.
+    """``throttle`` in the order of arrival. State is one number per device.
+
+    Within a micro-batch rows are taken in time order. A row that arrives in a later micro-batch than a newer kept row
+    of its device is dropped, so for sources that are ordered by device the result equals ``throttle``; for others it
+    may keep fewer rows.
 
     Once the watermark is a whole gap past a device's last kept row, any row still to come is kept
     anyway, so the state is dropped then and cannot grow with devices that fell silent. A device's
@@ -57,8 +61,10 @@ def decode_stream(events: DataFrame, min_seconds: float | None = THROTTLE_SECOND
     """Events to raw long rows, throttled per device on the event's own time; None = no throttle."""
     devices = explode_devices(events)
     if min_seconds is not None:
-        timed = devices.withColumn("_at", F.timestamp_millis("parent_timestampMsec")).filter(F.col("_at").isNotNull())
-        devices = throttle_stream(timed, "device_id", "_at", min_seconds).drop("_at")
+        placed = devices.withColumn("_at", F.timestamp_millis("parent_timestampMsec"))
+        timed = throttle_stream(placed.filter(F.col("_at").isNotNull()), "device_id", "_at", min_seconds)
+        # Events without a time cannot be throttled; they are passed on as without a throttle.
+        devices = timed.drop("_at").unionByName(devices.filter(F.col("parent_timestampMsec").isNull()))
     return explode_measures(devices)
 
 
@@ -104,7 +110,8 @@ def pivot_stream(
     raw: DataFrame, delay: str = "1 hour", mapping: dict[str, str] = MEASURE_COLUMNS, k: str = "device_id",
     ms: str = "parent_timestampMsec", measure: str = "measure_name", v: str = "raw_data",
 ) -> DataFrame:
-    """Streaming twin of ``pivot_measures``: an instant is emitted once, when the watermark passes it."""
+    """Streaming twin of ``pivot_measures``. In update mode every instant comes out, again after each change; in append
+    mode an instant comes out once, when the watermark passes it."""
     cells = [F.max(F.when(F.col(measure) == name, F.col(v))).alias(column) for name, column in mapping.items()]
     timed = with_lateness(raw.withColumn("ts_s", F.timestamp_millis(ms)), "ts_s", delay)
     return timed.groupBy(k, "ts_s").agg(*cells)
@@ -118,7 +125,8 @@ def latest_stream(df: DataFrame, k: str = DEVICE, t: str = TIME) -> DataFrame:
 def daily_mean_stream(
     df: DataFrame, delay: str = "1 day", k: str = DEVICE, t: str = TIME, v: str = VALUE
 ) -> DataFrame:
-    """Streaming twin of ``daily_mean`` (days of UTC): a day is emitted once the watermark passes its end."""
+    """Streaming twin of ``daily_mean`` (days of UTC). In update mode every day comes out, again after each change; in
+    append mode a day comes out once, when the watermark passes its end."""
     means = (
         with_lateness(df.filter(F.col(v).isNotNull()), t, delay)
         .groupBy(F.window(t, "1 day"), k)

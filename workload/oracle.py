@@ -351,12 +351,9 @@ def oracle_sql() -> dict[str, str]:
             AS status, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Non specificata' ELSE c_mktsegment END AS place
             FROM customer""",
         "stream_throttle": THROTTLE,
-        "stream_pivot": f"""SELECT user_id AS device_id, date_trunc('day', ts) AS ts_s, {PIVOT} FROM events
-            WHERE date_trunc('day', ts) <= (SELECT max(date_trunc('day', ts)) - INTERVAL 1 DAY FROM events)
-            GROUP BY 1, 2""",
+        "stream_pivot": f"""SELECT user_id AS device_id, date_trunc('day', ts) AS ts_s, {PIVOT} FROM events GROUP BY 1, 2""",
         "stream_daily_mean": f"""WITH {EVENTS}, {daily('events_clean')}
-            SELECT {DEVICE}, giorno, {r6('flow_avg_day')} AS flow_avg_day FROM daily
-            WHERE giorno + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""",
+            SELECT {DEVICE}, giorno, {r6('flow_avg_day')} AS flow_avg_day FROM daily""",
         "stream_latest": f"SELECT user_id AS {DEVICE}, max(ts) AS latest_measurement FROM events GROUP BY 1",
         "stream_dedupe": f"SELECT user_id AS {DEVICE}, ts AS {TIME}, value AS {VALUE} FROM events",
         "stream_decode": f"""WITH RECURSIVE heard AS (SELECT * FROM events WHERE event_type NOT IN ('error', 'signup')),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.schemas import DEVICE, TIME, VALUE
 from millrace.session import scratch_root
+from millrace.sinks.tables import upsert_snapshot
 from millrace.sources.events import read_events
 from millrace.streaming.streams import (
     daily_mean_stream,
@@ -63,6 +64,24 @@ def drain_updates(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
+def drain_keyed(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for an update stream whose batches are upserted by key: every key's last state."""
+    spark = stream.sparkSession
+    base = f"{scratch_root(spark)}/streams/{uuid.uuid4().hex}"
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        upsert_snapshot(f"{base}/rows", batch.withColumn("_batch", F.lit(number)), keys, ["_batch"])
+
+    query = (
+        stream.writeStream.outputMode("update").foreachBatch(upsert)
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/rows").drop("_batch")
+
+
 def naive(df: DataFrame, t: str = TIME) -> DataFrame:
     return df.withColumn(t, F.col(t).cast("timestamp_ntz"))
 
@@ -83,11 +102,12 @@ def q_pivot(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type").alias("measure_name"),
         F.col("value").alias("raw_data"),
     )
-    return naive(drain(pivot_stream(raw, "1 day", MEASURES)), "ts_s")
+    return naive(drain_keyed(pivot_stream(raw, "1 day", MEASURES), ["device_id", "ts_s"]), "ts_s")
 
 
 def q_daily_mean(spark: SparkSession, sf: str) -> DataFrame:
-    return drain(daily_mean_stream(series(event_rows(spark, sf)))).withColumn("flow_avg_day", r6("flow_avg_day"))
+    days = drain_keyed(daily_mean_stream(series(event_rows(spark, sf))), [DEVICE, "giorno"])
+    return days.withColumn("flow_avg_day", r6("flow_avg_day"))
 
 
 def q_latest(spark: SparkSession, sf: str) -> DataFrame:
