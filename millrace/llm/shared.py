@@ -1,7 +1,6 @@
 """Helpers shared by the operators: staging, bounded bitmaps, connected components."""
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +9,33 @@ from millrace.session import stage
 BITMAP_BITS = 1 << 24
 
 
+def small_batches(spark) -> None:
+    """Hand 1,000 rows at a time to Python where the session still has Spark's default of 10,000: rows are whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+def carried(docs: DataFrame, *named: str):
+    """``docs`` as its ``named`` columns and one struct of all others, so that columns added to it clash with none, and
+    the function that brings the columns back in their order."""
+    others = [c for c in docs.columns if c not in named]
+    packed = F.struct(*(F.col(f"`{c}`").alias(c) for c in others)) if others else F.lit(None).cast("int")
+    rows = docs.select(*named, packed.alias("_carried"))
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*(F.col(c) if c in named else F.col("_carried")[c].alias(c) for c in docs.columns))
+
+    return rows, back
 
 
 def bitmap(df: DataFrame, key: str | Column, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -76,7 +92,3 @@ def components(edges: DataFrame, u: str, v: str, label: str = "component") -> Da
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias(label))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias(label)).distinct()
     return nodes.union(roots)
-
-
-def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)

@@ -188,7 +188,7 @@ def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return key & np.uint64((1 << CODE_BITS) - 1), (key >> np.uint64(CODE_BITS)).astype(np.int64)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about ``most`` bytes of text and at most 65,536 rows, one row at least."""
     if batch.num_rows == 0:
         return
