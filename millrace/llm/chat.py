@@ -29,21 +29,23 @@ def depths(calls: DataFrame) -> DataFrame:
     """(call_id, depth, lost): how many calls stand before each in its chain; null on or behind a cycle. ``lost`` marks
     chains that begin with a call whose parent is not there; that call counts as the first."""
     known = calls.select(F.col("call_id").alias("parent")).withColumn("there", F.lit(True))
-    now = calls.select("call_id", "parent").join(known, "parent", "left").select(
+    # Calls without a parent stay out of the joins: their nulls would meet in one task.
+    roots = calls.filter("parent is null").select(
+        "call_id", F.lit(None).cast("string").alias("up"), F.lit(0).cast("long").alias("depth"), F.lit(False).alias("lost"))
+    now = roots.union(calls.filter("parent is not null").select("call_id", "parent").join(known, "parent", "left").select(
         "call_id", F.when(F.col("there"), F.col("parent")).alias("up"),
-        F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"),
-        (F.col("parent").isNotNull() & F.col("there").isNull()).alias("lost"))
+        F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"), F.col("there").isNull().alias("lost")))
     now = stage(now, "chains")
     rows, reach = now.count(), 1
     # After k rounds a pointer has passed 2 ** k calls; what still points on after all calls are passed is in a cycle.
     while now.filter("up is not null").limit(1).count() and reach <= 2 * rows:
         above = now.select(F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"),
                            F.col("lost").alias("far"))
-        now = stage(
-            now.join(above, "up", "left").select(
-                "call_id", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                (F.col("lost") | F.coalesce("far", F.lit(False))).alias("lost")),
-            "chains")
+        moved = now.filter("up is null").union(
+            now.filter("up is not null").join(above, "up").select(
+                "call_id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
+                (F.col("lost") | F.col("far")).alias("lost")))
+        now = stage(moved, "chains")
         reach *= 2
     return now.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"), "lost")
 
