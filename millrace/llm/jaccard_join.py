@@ -5,10 +5,10 @@ representatives. Two sets can only reach the threshold if they share a shingle a
 those are joined. The order of rarity comes from a table of ``CELLS`` counters: any order gives right results, and very
 common shingles stand out in it at every size.
 
-A shared prefix shingle is not expanded into all its pairs at once. The first round compares its documents with its
-smallest set only. The second round compares, on shingles whose documents are still in different components, only pairs
-across components. A large group of near copies is therefore linked by a number of comparisons in proportion to its
-size, and no pair that could join two components is left out. ``every_link=True`` compares all pairs instead.
+A shared prefix shingle is not expanded into all its pairs at once. The first round compares its documents with its most
+central set only; the second compares all pairs across the components found so far. A large group of near copies is
+therefore linked by a number of comparisons in proportion to its size, and no pair that could join two components is
+left out. ``every_link=True`` compares all pairs instead.
 """
 
 import numpy as np
@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import words as W
-from millrace.llm.shared import bitmap, components, documents, in_bitmap
+from millrace.llm.shared import bitmap, components, documents, in_bitmap, small_batches
 from millrace.session import stage
 
 N = 4
 PERCENT = 85
 CELLS = 1 << 19
-PARTS = 32
+PARTS = 256
+_FULL = 255
 
 
 def _need(percent: int, both):
@@ -75,31 +76,27 @@ def rarity(docs: DataFrame, n: int, key: str, text: str) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, percent: int, key: str, text: str) -> DataFrame:
-    """A row for each document: set size, 128-bit sum of the set, rarest shingles in order, counts by hash part."""
+    """A row for each document: set size, 128-bit sum of the set, rarest shingles in order."""
     counts = docs.sparkSession.sparkContext.broadcast(rarity(docs, n, key, text))
 
     def sign(batches):
         for ids, code, row, size in _sets(batches, n, key, text):
-            rows = len(ids)
             first = np.concatenate([[0], np.cumsum(size)])
             a, b = W.mix(code + np.uint64(1)), W.mix(code ^ np.uint64(0x5851F42D4C957F2D))
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (a, b)]
             s1, s2 = (x[first[1:]] - x[first[:-1]] for x in sums)
-            part = np.bincount(row * PARTS + (code >> np.uint64(W.CODE_BITS - 5)).astype(np.int64),
-                               minlength=rows * PARTS).astype("<u4")
             common = counts.value[(code & np.uint64(CELLS - 1)).astype(np.int64)]
             order = np.argsort((row << 44) | np.minimum(common, (1 << 44) - 1), kind="stable")
             long = np.where(size > 0, size - (percent * size + 99) // 100 + 1, 0)
             head = np.arange(len(code)) - first[row] < long[row]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(size, pa.int32()), pa.array(W.signed(s1)), pa.array(W.signed(s2)),
-                 _binaries(_pack(code[order][head]), np.cumsum(long) * 6),
-                 _binaries(part.view(np.uint8), np.arange(1, rows + 1) * PARTS * 4)],
-                names=["doc_id", "n", "s1", "s2", "prefix", "parts"],
+                 _binaries(_pack(code[order][head]), np.cumsum(long) * 6)],
+                names=["doc_id", "n", "s1", "s2", "prefix"],
             )
 
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
-    return rows.mapInArrow(sign, "doc_id long, n int, s1 long, s2 long, prefix binary, parts binary")
+    return rows.mapInArrow(sign, "doc_id long, n int, s1 long, s2 long, prefix binary")
 
 
 def _entries(reps: DataFrame, only: np.ndarray | None = None) -> DataFrame:
@@ -124,33 +121,44 @@ def _entries(reps: DataFrame, only: np.ndarray | None = None) -> DataFrame:
     return reps.select("rep", "n", "prefix").mapInArrow(explode, "token long, rep long, n int, pos int")
 
 
-def _passes(percent: int, nx: Column, px: Column, ny: Column, py: Column) -> Column:
-    """Length and positional filter: what is left of both sets after the shared shingle can still suffice."""
-    need = F.floor((F.lit(percent) * (nx + ny) + 99 + percent) / F.lit(100 + percent))
-    short, long = F.least(nx, ny), F.greatest(nx, ny)
-    return (F.lit(100) * short >= F.lit(percent) * long) & (F.least(nx - px, ny - py) >= need)
+def _near(percent: int, nx: Column, ny: Column) -> Column:
+    """Length filter: sets that differ more in size cannot reach the threshold."""
+    return F.lit(100) * F.least(nx, ny) >= F.lit(percent) * F.greatest(nx, ny)
+
+
+def _hopeful(percent: int) -> Column:
+    """Whether a pair can still suffice if all before and behind one shared shingle were shared."""
+    need = F.floor((F.lit(percent) * (F.col("nx") + F.col("ny")) + 99 + percent) / F.lit(100 + percent))
+    return F.least("px", "py") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) >= need
+
+
+def _pairs(matches: DataFrame, percent: int) -> DataFrame:
+    """(x, y) of the matches (a, b) on prefix shingles that the positional filter leaves.
+
+    Behind the last shared shingle of the prefixes, a pair has at most what is left of either set; before it, no more
+    than the matches that were found. The order of a and b is by representative.
+    """
+    turned = F.col("a.rep") > F.col("b.rep")
+    x, y = F.when(turned, F.col("b")).otherwise(F.col("a")), F.when(turned, F.col("a")).otherwise(F.col("b"))
+    found = (
+        matches.select(x["rep"].alias("x"), y["rep"].alias("y"), x["n"].alias("nx"), y["n"].alias("ny"),
+                       x["pos"].alias("px"), y["pos"].alias("py"))
+        .filter(_hopeful(percent))
+        .groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
+    )
+    need = F.floor((F.lit(percent) * (F.col("nx") + F.col("ny")) + 99 + percent) / F.lit(100 + percent))
+    left = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
+    return found.filter(F.col("c") + left >= need).select("x", "y")
 
 
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, percent: int, key: str, text: str):
     """(x, y, linked) for candidate pairs of representatives, each compared once on its whole sets.
 
-    The suffix filter comes first: per hash part, a pair shares at most the smaller count. Sets are made again from
-    the texts of the documents that the rest needs.
+    The sets of the documents in question are made again from their texts, with counts by hash part. The suffix filter
+    comes first: of each part, a pair shares at most the smaller count.
     """
     spark = docs.sparkSession
-    parts = reps.select(F.col("rep"), F.col("n"), F.col("parts"))
-
-    def suffix(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, PARTS).astype(np.int64)
-                    for c in ("parts_x", "parts_y"))
-            most = np.minimum(x, y).sum(1)
-            keep = most >= _need(percent, x.sum(1) + y.sum(1))
-            yield batch.select(["x", "y"]).filter(pa.array(keep))
-
-    left = parts.select(F.col("rep").alias("x"), F.col("parts").alias("parts_x"))
-    right = parts.select(F.col("rep").alias("y"), F.col("parts").alias("parts_y"))
-    pairs = stage(pairs.join(left, "x").join(right, "y").mapInArrow(suffix, "x long, y long"), "pairs")
+    pairs = stage(pairs, "pairs")
     ids = pairs.select(F.col("x").alias("rep")).union(pairs.select(F.col("y").alias("rep"))).distinct()
     ids = stage(ids.join(reps.select("rep", "s1"), "rep"), "ids")
     wanted = spark.sparkContext.broadcast(bitmap(ids, "rep"))
@@ -158,19 +166,38 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, percen
     def fetch(batches):
         for batch in batches:
             at = batch.schema.names.index(key)
-            known = batch.column(at).is_valid()
-            batch = batch.filter(known)
+            batch = batch.filter(batch.column(at).is_valid())
             batch = batch.filter(pa.array(in_bitmap(wanted.value, batch.column(at).to_numpy())))
-            for own, code, _, size in _sets([batch], n, key, text):
+            for own, code, row, size in _sets([batch], n, key, text):
                 total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(code + np.uint64(1)))])
                 first = np.concatenate([[0], np.cumsum(size)])
+                part = np.bincount(row * PARTS + (code >> np.uint64(W.CODE_BITS - 8)).astype(np.int64),
+                                   minlength=len(own) * PARTS)
+                part = np.minimum(part, _FULL).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [own, pa.array(W.signed(total[first[1:]] - total[first[:-1]])),
-                     _binaries(_pack(code), np.cumsum(size) * 6)], names=["rep", "s1", "codes"],
+                    [own, pa.array(W.signed(total[first[1:]] - total[first[:-1]])), pa.array(size, pa.int32()),
+                     _binaries(part, np.arange(1, len(own) + 1) * PARTS), _binaries(_pack(code), np.cumsum(size) * 6)],
+                    names=["rep", "s1", "n", "parts", "codes"],
                 )
 
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
-    sets = rows.mapInArrow(fetch, "rep long, s1 long, codes binary").join(ids, ["rep", "s1"]).drop("s1")
+    shape = "rep long, s1 long, n int, parts binary, codes binary"
+    sets = stage(rows.mapInArrow(fetch, shape).join(ids, ["rep", "s1"]).drop("s1").dropDuplicates(["rep"]), "sets")
+
+    def suffix(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS)
+                        for c in ("parts_x", "parts_y"))
+                both = batch.column("nx").to_numpy().astype(np.int64) + batch.column("ny").to_numpy()
+                keep = np.minimum(x, y).sum(1, dtype=np.int64) >= _need(percent, both)
+                keep |= ((x == _FULL) | (y == _FULL)).any(1)
+                yield batch.select(["x", "y"]).filter(pa.array(keep))
+
+    left = sets.select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("parts").alias("parts_x"))
+    right = sets.select(F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("parts").alias("parts_y"))
+    pairs = pairs.join(left, "x").join(right, "y").mapInArrow(suffix, "x long, y long")
 
     def compare(batches):
         for whole in batches:
@@ -211,6 +238,8 @@ def links(
     Null and empty texts have empty sets and no representative. Rows without an id belong to the class of their set
     but never represent it. Repeated rows fall into one class.
     """
+    spark = docs.sparkSession
+    small_batches(spark)
     signed = stage(signatures(docs, n, percent, key, text), "signatures")
     members = signed.select("doc_id", "n", "s1", "s2")
     classes = (
@@ -222,40 +251,36 @@ def links(
 
     tokens = _entries(reps).groupBy("token").count().filter(F.col("count") > 1).select("token")
     tokens = stage(tokens, "tokens")
-    shared = stage(_entries(reps, bitmap(tokens, "token")).join(tokens, "token"), "shared")
-    if every_link:
-        placed = shared.withColumn("component", F.col("rep"))
-        first = docs.sparkSession.createDataFrame([], "x long, y long, linked boolean")
-    else:
-        hubs = shared.groupBy("token").agg(F.min(F.struct("n", "rep", "pos")).alias("hub"))
-        star = (
-            shared.join(hubs, "token").filter(F.col("rep") != F.col("hub.rep"))
-            .filter(_passes(percent, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
-            .select(F.least("rep", "hub.rep").alias("x"), F.greatest("rep", "hub.rep").alias("y")).distinct()
-        )
-        first = _verified(docs, reps, star, n, percent, key, text)
-        found = stage(components(first.filter("linked"), "x", "y").withColumnRenamed("node", "rep"), "components")
-        placed = shared.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    rest = stage(placed.join(mixed.filter("a != b").select("token"), "token"), "rest")
+    shared = stage(_entries(reps, bitmap(tokens, "token", 1 << 26)).join(tokens, "token"), "shared")
+    known = spark.createDataFrame([], "x long, y long, linked boolean")
+    rest = shared.withColumn("component", F.col("rep"))
+    if not every_link:
+        # The entry with the fewest rarer shingles before it is the most central.
+        hubs = rest.groupBy("token").agg(F.min(F.struct("pos", "n", "rep")).alias("hub"))
+        star = rest.join(hubs, "token").filter(F.col("rep") != F.col("hub.rep"))
+        star = star.filter(_near(percent, F.col("n"), F.col("hub.n")))
+        star = star.select(F.struct("rep", "n", "pos").alias("a"), F.struct("hub.rep", "hub.n", "hub.pos").alias("b"))
+        known = _verified(docs, reps, _pairs(star, percent), n, percent, key, text)
+        found = stage(components(known.filter("linked"), "x", "y").withColumnRenamed("node", "rep"), "components")
+        placed = rest.drop("component").join(found, "rep", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "rep"))
+        mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+        rest = stage(placed.join(mixed.filter("a != b").select("token"), "token"), "rest")
     group = rest.select("token", "component").distinct()
     across = group.join(group.select("token", F.col("component").alias("other")), "token")
     across = across.filter(F.col("component") < F.col("other"))
-    left, right = (
+    first, second = (
         rest.select("token", F.col("component").alias(c), F.struct("rep", "n", "pos").alias(name))
-        for c, name in (("component", "l"), ("other", "r"))
+        for c, name in (("component", "a"), ("other", "b"))
     )
     # The smaller set of a pair shares a shingle within its shorter index prefix.
-    small = F.when(F.struct("l.n", "l.rep") < F.struct("r.n", "r.rep"), F.col("l")).otherwise(F.col("r"))
+    small = F.when(F.struct("a.n", "a.rep") < F.struct("b.n", "b.rep"), F.col("a")).otherwise(F.col("b"))
     index = small["n"] - F.ceil(F.lit(2 * percent) * small["n"] / F.lit(100 + percent)) + 1
-    second = (
-        across.join(left, ["token", "component"]).join(right, ["token", "other"])
-        .filter(_passes(percent, F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos")) & (small["pos"] < index))
-        .select(F.least("l.rep", "r.rep").alias("x"), F.greatest("l.rep", "r.rep").alias("y")).distinct()
-        .join(first.select("x", "y"), ["x", "y"], "left_anti")
-    )
-    second = _verified(docs, reps, second, n, percent, key, text)
-    linked = first.filter("linked").select("x", "y").union(second.filter("linked").select("x", "y"))
+    matches = across.join(first, ["token", "component"]).join(second, ["token", "other"])
+    matches = matches.filter(_near(percent, F.col("a.n"), F.col("b.n")) & (small["pos"] < index)).select("a", "b")
+    others = _pairs(matches, percent).join(known.select("x", "y"), ["x", "y"], "left_anti")
+    others = _verified(docs, reps, others, n, percent, key, text)
+    linked = known.filter("linked").select("x", "y").union(others.filter("linked").select("x", "y"))
     return members, reps.select("rep", "n", "s1", "s2"), linked
 
 
@@ -279,7 +304,7 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
                  .agg(F.count("*").alias("copies")), "kept")
     single = docs.join(kept.filter("copies = 1").select("doc_id"), "doc_id", "left_semi")
     repeated = docs.join(kept.filter("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.union(repeated).union(docs.filter(F.col("doc_id").isNull()))
+    return single.unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

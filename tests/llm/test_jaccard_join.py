@@ -49,13 +49,6 @@ def test_every_link(spark):
     assert {(r.x, r.y) for r in links.collect()} == want
 
 
-def test_hub_rounds_do_not_change_the_result(spark, monkeypatch):
-    rows = texts() + family()
-    monkeypatch.setattr(jaccard_join, "FEW", 1e9)
-    got = jaccard_join.cluster(documents(spark, rows)).collect()
-    assert sorted([tuple(r) for r in got], key=str) == plain(rows, 4, 85)
-
-
 def test_empty_table(spark):
     assert jaccard_join.cluster(documents(spark, [])).count() == 0
 
