@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from millrace.llm import words as W
-from millrace.llm.shared import documents, table
+from millrace.llm.shared import carried, documents, table
 from millrace.session import stage
 
 WINDOW = 10
@@ -162,8 +162,9 @@ def decontaminate(
     """``docs`` without benchmark passages: marked words go, with what stands between them; a document with at least
     ``drop_share`` of its words marked goes as a whole. Others stay as they are. ``n_chars``, if there, is counted
     again for texts that changed."""
-    found = scan(docs, benchmark, n, text)
     counted = "n_chars" in docs.columns
+    rows, back = carried(docs, text, *(["n_chars"] if counted else []))
+    found = scan(rows, benchmark, n, text)
 
     def cut(batches):
         for whole in batches:
@@ -195,7 +196,7 @@ def decontaminate(
                         )
                 yield pa.RecordBatch.from_arrays(columns[: -len(OWN)], names=batch.schema.names[: -len(OWN)])
 
-    return found.mapInArrow(cut, docs.drop(*OWN).withColumn(text, F.col(text).cast("string")).schema)
+    return back(found.mapInArrow(cut, rows.withColumn(text, F.col(text).cast("string")).schema))
 
 
 def _without(text: str, mask: bytes) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from millrace.llm import words as W
-from millrace.llm.shared import bitmap, documents, in_bitmap, table
+from millrace.llm.shared import bitmap, carried, documents, in_bitmap, table
 from millrace.session import stage
 
 SAMPLE = 12_000
@@ -270,6 +270,6 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def apply_copies(docs: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with each row as often as its copies say; rows without a copy go."""
-    columns = [c for c in docs.columns if c not in ("n_tokens", "domain", "rate", "copies")]
-    full = mix(docs, mixture, key, text)
-    return full.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*columns)
+    rows, back = carried(docs, key, text)
+    full = mix(rows, mixture, key, text).filter("copies > 0")
+    return back(full.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))))

@@ -55,7 +55,10 @@ def test_empty_tables(spark):
 def test_removal(spark):
     bench = spark.createDataFrame(items(), "item_id long, text string")
     docs = documents(spark).withColumn("n_chars", F.length("text"))
-    rows = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench).collect()}
+    found = decontaminate.decontaminate(docs, bench)
+    assert found.columns == docs.columns
+    rows = {r.doc_id: r for r in found.collect()}
+    assert rows[1].n_words == 7
     passage = sentence(2, 60)
     assert passage not in rows[11].text and rows[11].text.startswith(sentence(4, 40)) and rows[11].n_chars == len(rows[11].text)
     assert 8 not in rows and 9 not in rows  # nothing but a benchmark item
