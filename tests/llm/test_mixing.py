@@ -35,7 +35,7 @@ def test_expected_tokens_meet_targets(spark):
 def test_rates_are_the_least_squares_solution(spark):
     """Against plain projected gradient on all rates at once, run to its end."""
     docs, found = documents(spark, corpus()), model(spark)
-    mixture = mixing.solve(docs, found, {"blue": 0.7, "red": 0.3}, budget=5000.0, rounds=300)
+    mixture = mixing.solve(docs, found, {"blue": 0.7, "red": 0.3}, budget=5000.0, rounds=60)
     said = pa.array([t for _, t in corpus()], pa.string())
     size, p = mixing.posteriors(found, said)
     total = size.sum()
@@ -50,7 +50,7 @@ def test_rates_are_the_least_squares_solution(spark):
 
 def test_unwanted_domain_is_thinned(spark):
     docs, found = documents(spark, corpus()), model(spark)
-    mixture = mixing.solve(docs, found, {"red": 1.0})
+    mixture = mixing.solve(docs, found, {"red": 1.0}, rounds=20)
     rows = [r for r in mixing.mix(docs, mixture).collect() if r.doc_id is not None]
     assert min(r.rate for r in rows if r.doc_id < 120) > 0.9
     assert max(r.rate for r in rows if 500 <= r.doc_id < 560) < 0.5
@@ -64,8 +64,8 @@ def test_unknown_targets_and_empty_tables(spark):
         mixing.solve(docs, found, {"green": 1.0})
     none = documents(spark, [])
     empty = mixing.classifier(none, spark.createDataFrame([], LABELLED), ["domain"])
-    assert mixing.mix(none, mixing.solve(none, empty, {})).count() == 0
-    rows = mixing.mix(documents(spark), mixing.solve(documents(spark), empty, {})).collect()
+    assert mixing.mix(none, mixing.solve(none, empty, {}, rounds=2)).count() == 0
+    rows = mixing.mix(documents(spark), mixing.solve(documents(spark), empty, {}, rounds=2)).collect()
     assert len(rows) == len(texts())
 
 

@@ -1,13 +1,14 @@
 import corpus_pipeline
+import duckdb
 import pytest
 from cases import documents, sentence
+from check import TABLES, canonical
+from pyspark.sql import functions as F
 
 from millrace.llm import queries
 
 
 def write(spark, folder, rows):
-    from pyspark.sql import functions as F
-
     docs = documents(spark, rows).select("doc_id", "text", "lang", F.lit("s").alias("source"), F.length("text").alias("n_chars"))
     docs.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i, _ in rows if i % 2 == 0], "doc_id long, quality int, toxic int").write.parquet(
@@ -46,6 +47,14 @@ def test_registration():
 
 
 @pytest.mark.parametrize("name", sorted(queries.queries()))
-def test_queries_run_on_the_supplied_tables(spark, name):
-    found = queries.queries()[name](spark, "/root/testdata/sf0.001")
-    assert found.count() > 0 and len(set(found.columns)) == len(found.columns)
+def test_queries_on_the_supplied_tables(spark, name):
+    sf = "/root/testdata/sf0.001"
+    found = queries.queries()[name](spark, sf)
+    rows = canonical(found.columns, [tuple(r) for r in found.collect()])
+    assert rows and len(set(found.columns)) == len(found.columns)
+    if name in queries.oracle_sql():
+        db = duckdb.connect()
+        for table in TABLES:
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf}/{table}.parquet')")
+        result = db.execute(queries.oracle_sql()[name])
+        assert rows == canonical([c[0] for c in result.description], result.fetchall())
