@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,9 +53,10 @@ GIVEN_NAMES = (
 )
 _CUE_SETS = {kind: set(words.split()) for kind, words in CUES.items()}
 _PLAIN = set("version chapter page figure section isbn volume seite kapitel abschnitt capítulo página chapitre".split())
-_NAME_CODES = np.sort(W.find_words(pa.array([GIVEN_NAMES]), W.SPACED, W.KEEP_CASE).code)
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 _NAME = re.compile(r"(?<!\w)(?:" + "|".join(GIVEN_NAMES.split()) + r")(?: [A-ZÀ-Þ][a-zß-ÿ]+){1,2}(?!\w)")
+# Wider than _NAME: whatever stands before the name.
+_NAMED = "(?:" + "|".join(GIVEN_NAMES.split()) + ") [A-ZÀ-Þ]"
 
 
 def luhn(digits: str) -> bool:
@@ -181,14 +183,13 @@ def fit(counts: dict[tuple[str, str], int], rounds: int = 200) -> dict[tuple[str
 
 def _rows(batch: pa.RecordBatch, text: str):
     """(row, text, named) of the rows that can hold a candidate: those with a digit, an @ or a given name."""
-    found = W.find_words(batch.column(text), W.SPACED, W.KEEP_CASE)
-    data = found.data
+    said = batch.column(text)
+    data, offsets = W.text_buffer(said)
     marks = np.flatnonzero(((data >= 48) & (data <= 57)) | (data == 64))
-    rows = set(np.unique(np.searchsorted(found.offsets, marks, side="right") - 1).tolist())
-    at = np.minimum(np.searchsorted(_NAME_CODES, found.code), len(_NAME_CODES) - 1)
-    named = set(np.unique(found.row[_NAME_CODES[at] == found.code]).tolist())
+    rows = set(np.unique(np.searchsorted(offsets, marks, side="right") - 1).tolist())
+    named = set(np.flatnonzero(pc.match_substring_regex(said.fill_null(""), _NAMED).to_numpy(zero_copy_only=False)).tolist())
     for row in sorted(rows | named):
-        yield row, batch.column(text)[row].as_py(), row in named
+        yield row, said[row].as_py(), row in named
 
 
 def count_votes(docs: DataFrame, text: str = "text") -> dict[tuple[str, str], int]:

@@ -72,3 +72,9 @@ def test_empty_table(spark):
 
 def test_empty_digest():
     assert hashlib.sha256(plain(None).encode()).hexdigest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_names_behind_punctuation(spark):
+    said = ['"John Miller"', "(Peter Huber)", "Mr.James Smith", "name:Mary Jones", "“Hans Weber”", "©José García", "x_John Miller"]
+    found = pii.count_votes(documents(spark, list(enumerate(said))))
+    assert sum(n for (kind, _), n in found.items() if kind == "name") == len(said) - 1
