@@ -12,6 +12,9 @@ from millrace.llm.mixing import op1_mixing
 from millrace.llm.mtree import OP4_SQL, op4_mtree_topk
 from millrace.llm.pii import op9_pii
 from millrace.llm.quality import op10_quality
+from millrace.llm.runs import op11_periodic_runs
+from millrace.llm.search import OP13_SQL, op13_lexical_search
+from millrace.llm.simhash import op12_simhash
 from millrace.llm.substrings import op2_substring_dedup
 from millrace.llm.tokens import op8_token_ids
 
@@ -28,8 +31,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_ids": op8_token_ids,
         "op9_pii": op9_pii,
         "op10_quality": op10_quality,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_simhash": op12_simhash,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard": OP3_SQL, "op4_mtree_topk": OP4_SQL, "op5_tool_calls": OP5_SQL, "op7_decontaminate": OP7_SQL}
+    return {
+        "op3_ngram_jaccard": OP3_SQL, "op4_mtree_topk": OP4_SQL, "op5_tool_calls": OP5_SQL, "op7_decontaminate": OP7_SQL,
+        "op13_lexical_search": OP13_SQL,
+    }
