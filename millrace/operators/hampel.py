@@ -4,7 +4,9 @@ The two medians of a frame are taken on Arrow batches with numpy: as a window ex
 one needs a lambda per frame cell, which Spark interprets; measured, that is about three times slower.
 """
 
-from collections.abc import Sequence
+import bisect
+import datetime as dt
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -237,6 +239,64 @@ def lookback(
     )
 
 
+def needed_days(
+    days_in: Callable[[Sequence[dt.date]], DataFrame], days: Sequence[dt.date], extents: DataFrame, new: DataFrame,
+    rows: int, k: str = DEVICE, day: str = "event_date", step: int = 31,
+) -> DataFrame:
+    """(device, day) of the stored rows that can see, or be seen by, new rows through at most ``rows`` neighbours.
+
+    It reads an index of counts, never the series: ``days_in(some days)`` gives (device, day, n) of those days, ``days``
+    are all days there are, ``extents`` has (device, first_day, last_day). ``new`` has (device, day) of the new rows.
+    For every such pair the answer is the day itself and the days next to it until ``rows`` rows are counted on either
+    side. The index is read outwards from the new days, first ``step`` days, then four times as far, each time only for
+    the devices that still lack rows and whose extent goes on: a new device reads nothing, and a late row of one device
+    opens no day of another. The lists on the driver are days, so they grow with the calendar only.
+    """
+    days = sorted(days)
+    pairs = stage(new.select(k, day).distinct(), "new-days")
+    open_ = stage(pairs.join(extents.select(k, "first_day", "last_day"), k), "open-days")
+    spark, found, reach = new.sparkSession, None, 0
+    place: dict[dt.date, tuple[int, int]] = {}
+    limits_of: dict[dt.date, tuple[dt.date, dt.date]] = {}
+    while days:
+        asked = [r[0] for r in open_.select(day).distinct().collect()]
+        if not asked:
+            break
+        reach = reach * 4 if reach else step
+        ring: set[dt.date] = set()
+        for d in asked:
+            at, (inner_lo, inner_hi) = bisect.bisect_left(days, d), place.get(d, (len(days), 0))
+            lo, hi = place[d] = max(0, at - reach), min(len(days), at + reach + 1)
+            ring.update(days[lo : min(inner_lo, hi)], days[max(inner_hi, lo) : hi])
+            limits_of[d] = min(d, days[lo] if lo < len(days) else d), max(d, days[hi - 1])
+        counts = days_in(sorted(ring)).select(k, F.col(day).alias("_at"), "n").join(open_.select(k).distinct(), k)
+        found = counts if found is None else counts.unionByName(found)
+        found = stage(found.distinct(), "day-counts")
+        limits = spark.createDataFrame([(d, *x) for d, x in limits_of.items()], f"{day} date, _lo date, _hi date")
+        near = pairs.join(limits, day).join(found, k).filter(F.col("_at").between(F.col("_lo"), F.col("_hi")))
+        have = near.groupBy(k, day, "_lo", "_hi").agg(
+            F.coalesce(F.sum(F.when(F.col("_at") < F.col(day), F.col("n"))), F.lit(0)).alias("_before"),
+            F.coalesce(F.sum(F.when(F.col("_at") > F.col(day), F.col("n"))), F.lit(0)).alias("_after"),
+        )
+        left = (
+            open_.join(limits, day).join(have.drop("_lo", "_hi"), [k, day], "left").na.fill(0, ["_before", "_after"])
+            .filter(((F.col("_before") < rows) & (F.col("first_day") < F.col("_lo")))
+                    | ((F.col("_after") < rows) & (F.col("last_day") > F.col("_hi"))))
+        )
+        open_ = stage(left.select(*open_.columns), "open-days")
+    own = pairs.select(k, day)
+    if found is None:
+        return own
+    limits = spark.createDataFrame([(d, *x) for d, x in limits_of.items()], f"{day} date, _lo date, _hi date")
+    near = pairs.join(limits, day).join(found, k).filter(F.col("_at").between(F.col("_lo"), F.col("_hi")))
+    others = (Window.unboundedPreceding, -1)
+    side = F.col("_at") < F.col(day)
+    away = F.abs(F.datediff("_at", day))
+    nearer = F.sum("n").over(Window.partitionBy(k, day, side).orderBy(away).rowsBetween(*others))
+    needed = near.filter(F.col("_at") != F.col(day)).withColumn("_nearer", F.coalesce(nearer, F.lit(0)))
+    return own.union(needed.filter(F.col("_nearer") < rows).select(k, "_at")).distinct()
+
+
 def hampel_incremental(
     target: DataFrame, new: DataFrame, k: str = DEVICE, t: str = TIME, v: str = RAW_VALUE,
     window: int = HAMPEL_WINDOW, n_sigma: float = HAMPEL_SIGMA, hot_rows: int = HOT_ROWS, date: str | None = None,
@@ -245,13 +305,23 @@ def hampel_incremental(
 
     A new row also changes the window of its ``window // 2`` neighbours on both sides, so these are
     filtered again; they need as many rows around them. ``new`` has (device, time, value), one row
-    per key; a key that is stored already is replaced.
+    per key; a key that is stored already is replaced. Where an index of days is kept, use ``needed_days`` and
+    ``refilter``.
     """
+    stored = lookback(target, new.select(k, t), 2 * (window // 2), k, t, date)
+    return refilter(stored, new, k, t, v, window, n_sigma, hot_rows)
+
+
+def refilter(
+    stored: DataFrame, new: DataFrame, k: str = DEVICE, t: str = TIME, v: str = RAW_VALUE,
+    window: int = HAMPEL_WINDOW, n_sigma: float = HAMPEL_SIGMA, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``new`` and the stored rows whose frames hold a new row, filtered. ``stored`` has at least ``window - 1`` rows on
+    either side of every new row, or all there are; what lies between such stretches may be missing."""
     radius = window // 2
     keys = new.select(k, t)
-    stored = lookback(target, keys, 2 * radius, k, t, date).select(k, t, F.col(RAW_VALUE).alias("_v"))
     rows = (
-        stored.join(keys, [k, t], "left_anti")
+        stored.select(k, t, F.col(RAW_VALUE).alias("_v")).join(keys, [k, t], "left_anti")
         .withColumn("_new", F.lit(False))
         .unionByName(new.select(k, t, nan_to_null(F.col(v).cast("double")).alias("_v"), F.lit(True).alias("_new")))
     )

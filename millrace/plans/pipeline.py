@@ -1,116 +1,266 @@
-"""The jobs that keep the tables up to date: raw -> wide -> clean -> statistics, histogram, curve."""
+"""The jobs that keep the tables up to date: raw -> wide -> clean -> statistics, histogram, curve.
 
+All tables but ``raw`` are in one store (``millrace.sinks.store``): what an increment changes, the progress marks included,
+becomes visible in one commit. A job that stops before it has changed nothing and is simply run again.
+"""
+
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.curve import duration_curve
-from millrace.operators.hampel import hampel, hampel_incremental, reclean
+from millrace.operators.daystates import (
+    border_days,
+    curve_from_states,
+    day_bins,
+    day_states,
+    histogram_from_days,
+    period_starts,
+    ranges_from_states,
+    stats_from_states,
+)
+from millrace.operators.filters import histogram_window, newer_than
+from millrace.operators.hampel import needed_days, reclean, refilter
 from millrace.operators.histogram import flow_histogram
 from millrace.operators.reshape import pivot_measures
-from millrace.operators.stats import batch_mark, device_stats
-from millrace.schemas import DEVICE, ETL_STATE, HISTOGRAM_BINS, TIME
-from millrace.session import stage, staging_scope
-from millrace.sinks.tables import (
-    DATE,
-    advance_mark,
-    insert_ignore,
-    refresh_table,
-    table_exists,
-    touched,
-    upsert_dated,
-    upsert_snapshot,
-    with_date,
+from millrace.operators.stats import batch_mark
+from millrace.schemas import (
+    CLEAN,
+    CURVE,
+    DEVICE,
+    ETL_STATE,
+    HAMPEL_WINDOW,
+    HISTOGRAM,
+    HISTOGRAM_BINS,
+    MEASUREMENTS,
+    OUTLIER,
+    RAW,
+    RAW_VALUE,
+    STATS,
+    TIME,
+    VALUE,
 )
+from millrace.session import stage, staging_scope
+from millrace.sinks.store import DATE, Change, Snapshot, Store
+from millrace.sinks.tables import advance_mark, days_of, insert_new, read_mark, table_exists, with_date, without
 
 FLOW = "instant_flow_rate_2"
+TRANSFORM, CLEANING = "transform_raw_to_measurements", "clean_measurements"
+# Marks of the store: the last stream batch taken in, the last commit seen by the derived tables.
+STREAM, DERIVED = "stream_batch", "derived"
+_WIDE_KEYS, _CLEAN_KEYS = ["device_id", "ts_s"], [DEVICE, TIME]
+_HISTOGRAM_KEYS = [DEVICE, "window_start", "window_end", "bin_index"]
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Folders of the tables under one root."""
+    """The tables under one root: ``raw`` as plain files that are only added to, the others in a store."""
 
     root: str
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def store(self, spark: SparkSession) -> Store:
+        return Store(spark, self.root)
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+        return spark.read.parquet(self.path(name)) if name == "raw" else self.store(spark).read(name)
+
+
+def _dated(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DATE, T.DateType())])
+
 
+def ensure_tables(tables: Tables, spark: SparkSession) -> Snapshot:
+    """Commit every table that is not there yet, empty and with its declared columns."""
+    store = tables.store(spark)
+    now = store.snapshot()
+    declared = {
+        "measurements": (MEASUREMENTS, [], True), "clean": (CLEAN, _CLEAN_KEYS, True), "stats": (STATS, [DEVICE], False),
+        "histogram": (HISTOGRAM, _HISTOGRAM_KEYS, False), "duration_curve": (CURVE, [], False),
+        "etl_state": (ETL_STATE, ["job_name"], False),
+    }
+    missing = [
+        Change(name, with_date(spark.createDataFrame([], kind), kind.names[1]) if dated else
+               spark.createDataFrame([], kind), keys, dated)
+        for name, (kind, keys, dated) in declared.items() if not now.has(name)
+    ]
+    return store.commit(now, missing) if missing else now
 
-def add_measurements(tables: Tables, raw: DataFrame) -> DataFrame:
-    """Pivot new raw rows and insert the keys that are not stored; returns the stored rows of all keys."""
+
+def process_batch(tables: Tables, raw: DataFrame, batch: int | None = None, **options) -> None:
+    """One increment of the chain from new raw rows, as one commit.
+
+    Rows without an instant go to the table ``quarantine``, each once: they have no key to be stored under. ``batch`` is
+    the number of a stream's micro-batch; one that is committed already is skipped. Without it a repeated run finds its
+    keys stored and changes nothing.
+    """
     spark = raw.sparkSession
-    keys = ["device_id", "ts_s"]
-    wide = stage(with_date(pivot_measures(raw).drop("parent_timestampMsec"), "ts_s"), "wide")
-    path = tables.path("measurements")
-    rows = wide
-    if table_exists(spark, path):
-        rows = stage(insert_ignore(touched(spark.read.parquet(path), wide), wide, keys, ["ts_s"]), "insert")
-    ordered = rows.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys)
-    ordered.write.mode("append").partitionBy(DATE).parquet(path)
-    return touched(spark.read.parquet(path), wide).join(wide.select(*keys), keys, "left_semi")
-
-
-def clean_increment(tables: Tables, wide: DataFrame, **options) -> None:
-    """Filter new wide rows and the stored neighbours they change, then upsert."""
-    spark = wide.sparkSession
-    new = wide.select(F.col("device_id").alias(DEVICE), F.col("ts_s").alias(TIME), F.col(FLOW).alias("flow"))
-    path = tables.path("clean")
-    if table_exists(spark, path):
-        rows = hampel_incremental(spark.read.parquet(path), new, v="flow", date=DATE, **options)
-    else:
-        rows = hampel(new, v="flow", **options)
-    upsert_dated(path, rows.withColumn("updated_at", F.current_timestamp()), [DEVICE, TIME], ["updated_at"], TIME)
+    store = tables.store(spark)
+    now = store.snapshot()
+    if batch is not None and now.marks.get(STREAM, -1) >= batch:
+        return
+    with staging_scope(spark):
+        marks = {} if batch is None else {STREAM: batch}
+        raw = stage(raw, "batch")
+        done = store.commit(now, _increment(now, raw, **options), marks)
+    store.compact(done)
 
 
-def process_batch(tables: Tables, raw: DataFrame, **options) -> None:
-    """One increment of the chain. A repeated run is harmless. Rows without an instant go to the table ``quarantine``:
-    they have no key to be stored under.
+def run_increment(tables: Tables, spark: SparkSession, lateness: dt.timedelta = dt.timedelta(0), **options) -> int:
+    """The same for the raw rows after the stored mark; returns the new mark in epoch ms.
 
-    The cleaning takes the whole batch, not only the rows that were inserted, so a run that stopped
-    between the two steps is made good by the next attempt.
+    Only rows strictly newer than the mark are taken, so raw rows that were written later but are older are missed; with
+    ``lateness`` rows up to that much older are looked at again, and those that are not stored yet come in.
     """
-    with staging_scope(raw.sparkSession):
-        _process(tables, stage(raw, "batch"), **options)
+    if not table_exists(spark, tables.path("raw")):
+        return 0
+    now = tables.store(spark).snapshot()
+    mark = read_mark(now.read("etl_state"), TRANSFORM) if now.has("etl_state") else 0
+    since = max(0, mark - lateness // dt.timedelta(milliseconds=1))
+    raw = spark.read.schema(_dated(RAW)).parquet(tables.path("raw"))
+    first = dt.datetime.fromtimestamp(since / 1000, dt.UTC).date() - dt.timedelta(days=1)
+    lost = raw.filter(F.col(DATE).isNull() & F.col("parent_timestampMsec").isNull())
+    new = newer_than(raw.filter(F.col(DATE) >= F.lit(first)), "parent_timestampMsec", since)
+    process_batch(tables, new.unionByName(lost).drop(DATE), **options)
+    return read_mark(tables.read(spark, "etl_state"), TRANSFORM)
 
 
-def _process(tables: Tables, raw: DataFrame, **options) -> None:
+def _increment(now: Snapshot, raw: DataFrame, **options) -> list[Change]:
     spark = raw.sparkSession
     timed = F.col("parent_timestampMsec").isNotNull()
-    lost = raw.filter(~timed)
+    changes = []
+    lost = raw.filter(~timed).distinct()
     if not lost.isEmpty():
-        lost.write.mode("append").parquet(tables.path("quarantine"))
+        keys = lost.columns
+        if now.has("quarantine"):
+            lost = without(lost, now.read("quarantine"), keys)
+        changes.append(Change("quarantine", stage(lost, "lost"), dated=False))
     raw = raw.filter(timed)
-    clean_increment(tables, add_measurements(tables, raw), **options)
-    state_path = tables.path("etl_state")
-    exists = table_exists(spark, state_path)
-    state = spark.read.parquet(state_path) if exists else spark.createDataFrame([], ETL_STATE)
-    refresh_table(stage(advance_mark(state, "clean_measurements", batch_mark(raw)), "state"), state_path)
+    wide = stage(with_date(pivot_measures(raw).drop("parent_timestampMsec"), "ts_s"), "wide")
+    new = stage(insert_new(now, "measurements", wide, _WIDE_KEYS, ["ts_s"]), "insert")
+    if not new.isEmpty():
+        changes.append(Change("measurements", new))
+        rows = new.select(F.col("device_id").alias(DEVICE), F.col("ts_s").alias(TIME), F.col(FLOW).alias("flow"), DATE)
+        changes += clean_changes(now, rows, **options)
+    marks = batch_mark(raw)
+    if marks.head()[0]:
+        state = now.read("etl_state") if now.has("etl_state") else spark.createDataFrame([], ETL_STATE)
+        for job in (TRANSFORM, CLEANING):
+            state = advance_mark(state, job, marks)
+        changes.append(Change("etl_state", stage(state, "state"), ["job_name"], dated=False, replace=True))
+    return changes
+
+
+def clean_changes(now: Snapshot, new: DataFrame, window: int = HAMPEL_WINDOW, **options) -> list[Change]:
+    """Changes of ``clean``, ``days`` and ``extents`` by new rows (device, time, flow, day).
+
+    ``days`` (states of each device and day) is at the same time the index that tells which stored days the filter must
+    read again: only those days of ``clean`` are opened, and of them only the devices in question.
+    """
+    spark = new.sparkSession
+    if now.has("days"):
+        around = stage(needed_days(lambda d: now.read("days", d), now.days("days"), now.read("extents"),
+                                   new.select(DEVICE, DATE), window - 1), "around")
+        stored = now.read("clean", days_of(around)).join(around, [DEVICE, DATE])
+    else:
+        stored = spark.createDataFrame([], _dated(CLEAN))
+    kept = [DEVICE, TIME, RAW_VALUE, VALUE, OUTLIER, DATE]
+    stored = stage(stored.select(*kept), "stored")
+    changed = refilter(stored, new, v="flow", window=window, **options)
+    changed = stage(with_date(changed, TIME).withColumn("updated_at", F.current_timestamp()), "changed")
+    touched = stage(changed.select(DEVICE, DATE).distinct(), "touched")
+    rows = without(stored.join(touched, [DEVICE, DATE], "left_semi"), changed, _CLEAN_KEYS)
+    states = day_states(rows.unionByName(changed.select(*kept)))
+    states = stage(states.withColumn("changed_in", F.lit(now.number + 1).cast("long")), "states")
+    extents = states.groupBy(DEVICE).agg(F.min(DATE).alias("first_day"), F.max(DATE).alias("last_day"))
+    if now.has("extents"):
+        extents = (
+            now.read("extents").join(extents.select(DEVICE), DEVICE, "left_semi").unionByName(extents).groupBy(DEVICE)
+            .agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+        )
+    return [
+        Change("clean", changed, _CLEAN_KEYS), Change("days", states, [DEVICE, DATE]),
+        Change("extents", stage(extents, "extents"), [DEVICE], dated=False),
+    ]
 
 
 def refresh_derived(
     tables: Tables, devices: DataFrame, as_of: Column | None = None, bins: int = HISTOGRAM_BINS, hours: int = 0
 ) -> None:
-    """Statistics and histogram are upserted, the duration curve is rebuilt."""
+    """Bring statistics, histogram and curve up to date with what changed since the last refresh, as one commit.
+
+    They are put together from day states, so old days are read only where a trailing period starts on them, and, for
+    the histogram, for devices whose range has changed. Statistics and histogram are upserted for the touched devices,
+    the curve is rebuilt from the states. A histogram of the last ``hours`` reads the days it covers.
+    """
     spark = devices.sparkSession
-    clean = tables.read(spark, "clean")
+    store = tables.store(spark)
+    now = store.snapshot()
     as_of = F.current_timestamp() if as_of is None else as_of
     with staging_scope(spark):
-        upsert_snapshot(tables.path("stats"), device_stats(clean, as_of), [DEVICE], ["updated_at"])
-        upsert_snapshot(
-            tables.path("histogram"),
-            flow_histogram(clean, bins, hours, as_of),
-            [DEVICE, "window_start", "window_end", "bin_index"],
-            ["updated_at"],
-        )
-        refresh_table(duration_curve(clean, devices), tables.path("duration_curve"))
+        done = store.commit(now, _derived(now, devices, as_of, bins, hours), {DERIVED: now.number})
+    store.compact(done)
+
+
+def _derived(now: Snapshot, devices: DataFrame, as_of: Column, bins: int, hours: int) -> list[Change]:
+    seen = now.marks.get(DERIVED, 0)
+    changed = stage(now.read("days", since=seen).filter(F.col("changed_in") > seen).select(DEVICE, DATE), "changed-days")
+    touched = stage(changed.select(DEVICE).distinct(), "touched-devices")
+    states = stage(now.read("days").join(touched, DEVICE, "left_semi"), "touched-states")
+    starts = stage(period_starts(states), "starts")
+    border = stage(border_days(starts), "border")
+    rows = now.read("clean", days_of(border)).join(border, [DEVICE, DATE], "left_semi")
+    changes = [
+        Change("stats", stage(stats_from_states(states, starts, rows, as_of), "stats"), [DEVICE], dated=False),
+        Change("duration_curve", stage(curve_from_states(now.read("days"), devices), "curve"), dated=False, replace=True),
+    ]
+    if hours:
+        start, end = histogram_window(as_of, hours)
+        first, last = (x.date() for x in devices.sparkSession.range(1).select(start, end).head())
+        clean = now.read("clean", [d for d in now.days("clean") if first <= d <= last])
+        fresh = flow_histogram(clean, bins, hours, as_of)
+        return [*changes, Change("histogram", stage(fresh, "histogram"), _HISTOGRAM_KEYS, dated=False)]
+    return changes + _histogram_changes(now, states, changed, as_of, bins)
+
+
+def _histogram_changes(now: Snapshot, states: DataFrame, changed: DataFrame, as_of: Column, bins: int) -> list[Change]:
+    """Bin counts of the touched days, of all days where the range or the number of bins is another, and their sums."""
+    ranges = stage(ranges_from_states(states).withColumn("n_bins", F.lit(bins)), "ranges")
+    if now.has("ranges"):
+        known = now.read("ranges").select(DEVICE, F.struct("min_v", "max_v", "n_bins").alias("_old"))
+        same = F.col("_old").eqNullSafe(F.struct("min_v", "max_v", "n_bins"))
+        moved = stage(ranges.join(known, DEVICE, "left").filter(~same).select(DEVICE), "moved")
+    else:
+        moved = ranges.select(DEVICE)
+    again = stage(
+        changed.unionByName(states.join(moved, DEVICE, "left_semi").select(DEVICE, DATE)).distinct(), "bin-days")
+    rows = now.read("clean", days_of(again)).join(again, [DEVICE, DATE], "left_semi")
+    # A day that is without values now keeps a row, so that it replaces an older state.
+    fresh = again.join(day_bins(rows, ranges, bins), [DEVICE, DATE], "left")
+    fresh = stage(fresh, "day-bins")
+    days = fresh
+    if now.has("day_bins"):
+        stored = now.read("day_bins").join(ranges.select(DEVICE), DEVICE, "left_semi")
+        days = without(stored, fresh, [DEVICE, DATE]).unionByName(fresh)
+    start, _ = histogram_window(as_of, 0)
+    made = histogram_from_days(days, ranges.drop("n_bins"), bins, start, F.lit(None).cast("timestamp"), as_of)
+    return [
+        Change("ranges", ranges, [DEVICE], dated=False), Change("day_bins", fresh, [DEVICE, DATE]),
+        Change("histogram", stage(made, "histogram"), _HISTOGRAM_KEYS, dated=False),
+    ]
 
 
 def regenerate_clean(tables: Tables, spark: SparkSession, **options) -> None:
-    """Filter every stored series again and upsert the result."""
+    """Filter every stored series again and upsert the result and the states of all days."""
+    store = tables.store(spark)
+    now = store.snapshot()
     with staging_scope(spark):
-        rows = reclean(tables.read(spark, "clean"), **options).withColumn("updated_at", F.current_timestamp())
-        upsert_dated(tables.path("clean"), rows, [DEVICE, TIME], ["updated_at"], TIME)
+        rows = with_date(reclean(now.read("clean"), **options), TIME).withColumn("updated_at", F.current_timestamp())
+        rows = stage(rows, "clean")
+        states = day_states(rows).withColumn("changed_in", F.lit(now.number + 1).cast("long"))
+        done = store.commit(now, [Change("clean", rows, _CLEAN_KEYS), Change("days", states, [DEVICE, DATE])])
+    store.compact(done, 1)

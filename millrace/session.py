@@ -104,24 +104,6 @@ def drop_staged(spark: SparkSession) -> bool:
     return _delete(spark, _staging_folder(spark))
 
 
-def replace_folder(df: DataFrame, path: str) -> None:
-    """Write ``df`` in the place of the table at ``path``, which it may read.
-
-    The new files are written beside it and take its name by renaming, so a failed write leaves the old table whole.
-    """
-    spark = df.sparkSession
-    fresh, old = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}", f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    system = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if system.exists(folder(path)) and not system.rename(folder(path), folder(old)):
-        raise OSError(f"cannot move {path} aside; the new table is in {fresh}")
-    if not system.rename(folder(fresh), folder(path)):
-        system.rename(folder(old), folder(path))
-        raise OSError(f"cannot move the new table from {fresh} to {path}")
-    system.delete(folder(old), True)
-
-
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each application; for runs from a folder that they do not share."""
     context = spark.sparkContext

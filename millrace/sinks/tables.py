@@ -1,24 +1,17 @@
-"""Table writers over parquet: append, insert-or-ignore, upsert, marks, full refresh, CSV."""
+"""Table writers: append, insert-or-ignore, upsert, marks, full refresh, CSV. Changing tables are versioned, see ``store``."""
 
+import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.dedupe import dedupe_first, dedupe_last
 from millrace.schemas import DEVICE, ETL_STATE, TABLES
-from millrace.session import replace_folder, stage
+from millrace.session import stage
+from millrace.sinks.store import DATE, Change, Files, Snapshot, Store, is_store, without
 
-DATE = "event_date"
-_MANY_DATES = 1_000
-
-
-def without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``other``; a null (an open window end) equals a null."""
-    taken = other.select(*[F.col(c).alias(f"_taken_{c}") for c in keys])
-    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_taken_{c}")) for c in keys])
-    return df.join(taken, equal, "left_anti")
+ROWS = "rows"
 
 
 def with_date(df: DataFrame, t: str) -> DataFrame:
@@ -47,58 +40,50 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequ
     return without(target, last, keys).unionByName(last, allowMissingColumns=True)
 
 
-def upsert_snapshot(path: str, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> None:
-    """Upsert into a small unpartitioned table (statistics, histogram, state)."""
-    spark = new.sparkSession
-    if table_exists(spark, path):
-        new = upsert(spark.read.parquet(path), new, keys, version)
-    else:
-        new = dedupe_last(new, keys, version)
-    replace_folder(new, path)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return Files(spark).exists(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def days_of(df: DataFrame) -> list[dt.date]:
+    """The days that occur, in order: a list that grows with the calendar, not with the rows."""
+    return sorted(row[0] for row in df.select(DATE).distinct().collect() if row[0] is not None)
+
 
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of the table at ``path``, versioned or plain Parquet."""
+    return Store(spark, path).read(ROWS) if is_store(spark, path) else spark.read.parquet(path)
 
-def touched(target: DataFrame, new: DataFrame) -> DataFrame:
-    """Partitions of ``target`` with a date that occurs in ``new``; pruned before the scan."""
-    dates = new.select(DATE).distinct()
-    found = dates.head(_MANY_DATES + 1)
-    if len(found) <= _MANY_DATES:
-        return target.filter(F.col(DATE).isin([row[0] for row in found]))
-    return target.join(dates, DATE, "left_semi")
+
+def upsert_snapshot(path: str, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> None:
+    """Upsert into a table without dates (statistics, histogram, state): only the new rows are written."""
+    store = Store(new.sparkSession, path)
+    base = store.commit(store.snapshot(), [Change(ROWS, dedupe_last(new, keys, version), keys, dated=False)])
+    store.compact(base)
 
 
 def upsert_dated(path: str, new: DataFrame, keys: Sequence[str], version: Sequence[str], t: str) -> None:
-    """Upsert into a table partitioned by date: only the touched dates are rewritten.
+    """Upsert into a table by date: only the new rows are written.
 
-    The key contains ``t``, so a key never moves to another date. The result is staged first: a path
-    is never overwritten while it is read, and a repeated run writes the same partitions again. While the dates are
-    swapped, a reader may miss their files.
+    The key contains ``t``, so a key never moves to another date.
     """
-    spark = new.sparkSession
-    dated = stage(with_date(new, t), "increment")
-    if table_exists(spark, path):
-        merged = upsert(touched(spark.read.parquet(path), dated), dated, keys, version)
-    else:
-        merged = dedupe_last(dated, keys, version)
-    staged = stage(merged, "upsert")
-    ordered = staged.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
+    store = Store(new.sparkSession, path)
+    rows = dedupe_last(with_date(new, t), [*keys, DATE], version)
+    store.compact(store.commit(store.snapshot(), [Change(ROWS, rows, keys)]))
+
+
+def insert_new(base: Snapshot, table: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of ``rows`` (with their date) to add to a table of ``base``; reads the keys of the touched dates only."""
+    if not base.has(table):
+        return dedupe_first(rows, keys, order)
+    return insert_ignore(base.read(table, days_of(rows)), rows, keys, order)
 
 
 def insert_ignore_dated(path: str, new: DataFrame, keys: Sequence[str], order: Sequence[str], t: str) -> None:
-    """Insert-or-ignore into a table partitioned by date; reads only the touched dates."""
-    spark = new.sparkSession
+    """Insert-or-ignore into a table by date."""
+    store = Store(new.sparkSession, path)
+    base = store.snapshot()
     dated = stage(with_date(new, t), "increment")
-    if table_exists(spark, path):
-        rows = stage(insert_ignore(touched(spark.read.parquet(path), dated), dated, keys, order), "insert")
-    else:
-        rows = dedupe_first(dated, keys, order)
-    ordered = rows.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys)
-    ordered.write.mode("append").partitionBy(DATE).parquet(path)
+    store.commit(base, [Change(ROWS, insert_new(base, ROWS, dated, keys, order))])
 
 
 def read_mark(state: DataFrame, job: str) -> int:
@@ -120,8 +105,9 @@ def advance_mark(state: DataFrame, job: str, marks: DataFrame) -> DataFrame:
 
 
 def refresh_table(df: DataFrame, path: str) -> None:
-    """Rebuild a derived table; the old one stays until the new one is complete."""
-    replace_folder(df, path)
+    """Rebuild a derived table, which ``df`` may read; the old one is read until the new one is complete."""
+    store = Store(df.sparkSession, path)
+    store.commit(store.snapshot(), [Change(ROWS, df, dated=False, replace=True)])
 
 
 def write_csv(df: DataFrame, path: str, k: str | None = DEVICE) -> None:

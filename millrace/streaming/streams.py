@@ -10,9 +10,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.operators.reshape import explode_devices, explode_measures
 from millrace.operators.throttle import _NONE_KEPT, kept_mask
-from millrace.plans.pipeline import Tables, process_batch
+from millrace.plans.pipeline import Tables, process_batch, refresh_derived
 from millrace.schemas import DEVICE, MEASURE_COLUMNS, RAW, THROTTLE_SECONDS, TIME, VALUE
-from millrace.sinks.tables import DATE, with_date
+from millrace.sinks.store import BATCH, Change, Store
+from millrace.sinks.tables import DATE, ROWS, with_date
 
 
 def with_lateness(df: DataFrame, t: str = TIME, delay: str = "1 day") -> DataFrame:
@@ -86,17 +87,22 @@ def ingest_stream(
 
 def run_pipeline(
     spark: SparkSession, tables: Tables, checkpoint: str, trigger: dict | None = None, max_files: int | None = None,
-    **options,
+    devices: DataFrame | None = None, refresh_every: int = 1, **options,
 ) -> StreamingQuery:
-    """Follow the raw table and bring the wide and clean tables up to date, one micro-batch at a time."""
+    """Follow the raw table and bring the wide and clean tables up to date, one commit for each micro-batch.
+
+    With ``devices`` (the registry) the derived tables are refreshed after every ``refresh_every`` micro-batches.
+    """
     reader = spark.readStream.schema(RAW)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.parquet(tables.path("raw"))
 
-    def advance(batch: DataFrame, _batch_id: int) -> None:
+    def advance(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            process_batch(tables, batch, **options)
+            process_batch(tables, batch, number, **options)
+        if devices is not None and (number + 1) % refresh_every == 0:
+            refresh_derived(tables, devices)
 
     return (
         raw.writeStream.foreachBatch(advance)
@@ -117,6 +123,24 @@ def pivot_stream(
     return timed.groupBy(k, "ts_s").agg(*cells)
 
 
+def upsert_sink(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], trigger: dict | None = None, dated: bool = False
+) -> StreamingQuery:
+    """An update stream into a versioned table: of every key the last state. Each micro-batch writes its own rows only
+    and is committed with its number, so one that is delivered again is skipped."""
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        store = Store(batch.sparkSession, path)
+        now = store.snapshot()
+        if now.marks.get(BATCH, -1) < number:
+            store.compact(store.commit(now, [Change(ROWS, batch, keys, dated)], {BATCH: number}))
+
+    return (
+        stream.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "20 seconds"})).start()
+    )
+
+
 def latest_stream(df: DataFrame, k: str = DEVICE, t: str = TIME) -> DataFrame:
     """Latest time per device; use update or complete mode."""
     return df.groupBy(k).agg(F.max(t).alias("latest_measurement"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import session
+from millrace.sinks.tables import open_table, refresh_table
 
 ROOT = pathlib.Path(__file__).resolve().parent.parent
 CODE = f"""
@@ -43,9 +44,9 @@ def test_a_cluster_needs_a_shared_folder():
 
 def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
     path = str(tmp_path / "table")
-    session.replace_folder(spark.range(3), path)
+    refresh_table(spark.range(3), path)
     with pytest.raises(Exception):  # noqa: B017
-        session.replace_folder(spark.range(5).withColumn("id", F.raise_error(F.lit("no"))), path)
-    assert spark.read.parquet(path).count() == 3
-    session.replace_folder(spark.read.parquet(path).filter("id > 0"), path)
-    assert spark.read.parquet(path).count() == 2
+        refresh_table(spark.range(5).withColumn("id", F.raise_error(F.lit("no"))), path)
+    assert open_table(spark, path).count() == 3
+    refresh_table(open_table(spark, path).filter("id > 0"), path)
+    assert open_table(spark, path).count() == 2

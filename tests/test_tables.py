@@ -16,6 +16,7 @@ from millrace.sinks.tables import (
     append_raw,
     ensure_table,
     insert_ignore_dated,
+    open_table,
     read_mark,
     refresh_table,
     upsert_dated,
@@ -72,13 +73,15 @@ def frame(spark, rows):
     return spark.createDataFrame([(k, datetime(2024, 1, d), v) for k, d, v in rows], "k string, t timestamp, v int")
 
 
-def test_dated_upsert_rewrites_only_touched_days(spark, tmp_path):
+def test_dated_upsert_writes_only_the_increment(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_dated(path, frame(spark, [("a", 1, 1), ("a", 2, 2), ("b", 2, 3)]), ["k", "t"], ["v"], "t")
-    untouched = sorted(p.name for p in (tmp_path / "t" / "event_date=2024-01-01").iterdir())
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
     upsert_dated(path, frame(spark, [("a", 2, 9), ("a", 2, 8), ("c", 3, 4)]), ["k", "t"], ["v"], "t")
-    assert sorted(p.name for p in (tmp_path / "t" / "event_date=2024-01-01").iterdir()) == untouched
-    out = sorted((r["k"], r["t"].day, r["v"]) for r in spark.read.parquet(path).collect())
+    assert {p: p.stat().st_mtime_ns for p in before} == before
+    added = [str(p) for p in tmp_path.rglob("*.parquet") if p not in before]
+    assert spark.read.parquet(*added).count() == 2
+    out = sorted((r["k"], r["t"].day, r["v"]) for r in open_table(spark, path).collect())
     assert out == [("a", 1, 1), ("a", 2, 9), ("b", 2, 3), ("c", 3, 4)]
 
 
@@ -86,7 +89,7 @@ def test_dated_insert_ignore(spark, tmp_path):
     path = str(tmp_path / "t")
     insert_ignore_dated(path, frame(spark, [("a", 1, 5), ("a", 1, 4)]), ["k", "t"], ["v"], "t")
     insert_ignore_dated(path, frame(spark, [("a", 1, 1), ("a", 2, 2)]), ["k", "t"], ["v"], "t")
-    assert sorted((r["t"].day, r["v"]) for r in spark.read.parquet(path).collect()) == [(1, 4), (2, 2)]
+    assert sorted((r["t"].day, r["v"]) for r in open_table(spark, path).collect()) == [(1, 4), (2, 2)]
 
 
 def test_snapshot_append_refresh(spark, tmp_path):
@@ -94,7 +97,7 @@ def test_snapshot_append_refresh(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     upsert_snapshot(path, rows, ["k"], ["v"])
     upsert_snapshot(path, spark.createDataFrame([("b", 2), ("c", 3)], "k string, v int"), ["k"], ["v"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 1), ("b", 2), ("c", 3)]
+    assert sorted(map(tuple, open_table(spark, path).collect())) == [("a", 1), ("b", 2), ("c", 3)]
     refresh_table(rows, path)
     assert read_table(spark, "s", str(tmp_path)).count() == 2
     raw = spark.createDataFrame([(86_400_000,), (1,)], "parent_timestampMsec bigint")

@@ -10,7 +10,7 @@ from millrace.operators.stats import latest
 from millrace.plans.queries import curve_query, device_detail, series_query
 from millrace.schemas import DEVICE, OUTLIER, RAW_VALUE, TIME, VALUE
 from millrace.session import scratch_root
-from millrace.sinks.tables import append_raw, refresh_table, upsert_snapshot
+from millrace.sinks.tables import append_raw, open_table, refresh_table, upsert_snapshot
 from workload.queries import _curve, _stats
 from workload.tables import customer_devices, events_clean, events_raw
 
@@ -69,7 +69,7 @@ def q_refresh(spark: SparkSession, sf: str) -> DataFrame:
     path, rows = _folder(spark), customer_devices(spark, sf)
     refresh_table(rows.filter("is_active"), path)
     refresh_table(rows, path)
-    return spark.read.parquet(path)
+    return open_table(spark, path)
 
 
 def q_upsert_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +78,7 @@ def q_upsert_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     upsert_snapshot(path, rows, [DEVICE], ["version"])
     new = rows.filter("is_active").withColumns({"name": F.upper("name"), "version": F.lit(2)})
     upsert_snapshot(path, new, [DEVICE], ["version"])
-    return spark.read.parquet(path)
+    return open_table(spark, path)
 
 
 def queries() -> dict:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.schemas import DEVICE, TIME, VALUE
 from millrace.session import scratch_root
-from millrace.sinks.tables import upsert_snapshot
+from millrace.sinks.tables import open_table
 from millrace.sources.events import read_events
 from millrace.streaming.streams import (
     daily_mean_stream,
@@ -16,6 +16,7 @@ from millrace.streaming.streams import (
     latest_stream,
     pivot_stream,
     throttle_stream,
+    upsert_sink,
 )
 from workload.tables import MEASURES, event_messages, table
 
@@ -66,20 +67,9 @@ def drain_updates(stream: DataFrame) -> DataFrame:
 
 def drain_keyed(stream: DataFrame, keys: list[str]) -> DataFrame:
     """The same for an update stream whose batches are upserted by key: every key's last state."""
-    spark = stream.sparkSession
-    base = f"{scratch_root(spark)}/streams/{uuid.uuid4().hex}"
-
-    def upsert(batch: DataFrame, number: int) -> None:
-        upsert_snapshot(f"{base}/rows", batch.withColumn("_batch", F.lit(number)), keys, ["_batch"])
-
-    query = (
-        stream.writeStream.outputMode("update").foreachBatch(upsert)
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{base}/rows").drop("_batch")
+    base = f"{scratch_root(stream.sparkSession)}/streams/{uuid.uuid4().hex}"
+    upsert_sink(stream, f"{base}/rows", f"{base}/checkpoint", keys, {"availableNow": True}).awaitTermination()
+    return open_table(stream.sparkSession, f"{base}/rows")
 
 
 def naive(df: DataFrame, t: str = TIME) -> DataFrame:
