@@ -1,4 +1,4 @@
-"""Gaps, thinning, mean lines and rolling means of a series."""
+"""Gaps, thinning and mean lines of a series."""
 
 from collections.abc import Sequence
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import finite, interval
-from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, over_series, split_hot, with_position
+from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, over_series, with_position
 from millrace.schemas import DEVICE, LONG_GAP, LONG_GAP_RANGES, RANGE_MEAN, SHORT_GAP, TIME, VALUE
 
 
@@ -83,31 +83,3 @@ def mean_line(df: DataFrame, stats: DataFrame, range_key: str, k: str = DEVICE,
         return df.select(k, t, F.lit(None).cast("double").alias("mean")).limit(0)
     mean = stats.select(k, F.col(column).alias("mean")).filter(F.col("mean").isNotNull() & ~F.isnan("mean"))
     return df.select(k, t).join(mean, k)
-
-
-def rolling_mean(
-    df: DataFrame, text: str = "INTERVAL 24 HOURS", k: str = DEVICE, t: str = TIME, v: str = VALUE,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Mean of the readings in the period that ends at each row, both ends included.
-
-    A hot device is cut into periods of the same length; each also gets the rows of the one before
-    it, which is all that a frame can reach.
-    """
-    def mean(rows: DataFrame, part: list[str]) -> DataFrame:
-        keys = ", ".join(f"`{c}`" for c in part)
-        frame = f"PARTITION BY {keys} ORDER BY `{t}` RANGE BETWEEN {text} PRECEDING AND CURRENT ROW"
-        return rows.withColumn("rolling_mean", F.expr(f"avg(`{v}`) OVER ({frame})"))
-
-    cold, hot = split_hot(df, k, hot_rows)
-    done = mean(cold, [k])
-    if hot is None:
-        return done
-    span = F.unix_micros(F.timestamp_micros(F.lit(0)) + interval(text))
-    home = F.floor(F.unix_micros(F.col(t).cast("timestamp")) / span).cast("long")
-    spread = (
-        hot.withColumn("_home", home)
-        .withColumn("_period", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
-    )
-    periods = mean(spread, [k, "_period"]).filter(F.col("_home") == F.col("_period"))
-    return done.unionByName(periods.select(*done.columns))

@@ -1,5 +1,8 @@
 """Blocked work on hot devices equals plain work; skew is really split."""
 
+from datetime import datetime
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -10,11 +13,12 @@ from millrace.operators import layout
 from millrace.operators import throttle as throttle_module
 from millrace.operators.hampel import hampel
 from millrace.operators.layout import BLOCK, POSITION, TOTAL, in_blocks, per_key_rows, with_position
-from millrace.operators.lttb import _choose, bucket_of, hull_rows, lttb
-from millrace.operators.series import insert_gap_markers, rolling_mean, stride_sample
+from millrace.operators.lttb import _LOW, _choose, _whole, bucket_of, hull_rows, lttb
+from millrace.operators.rolling import rolling_mean
+from millrace.operators.series import insert_gap_markers, stride_sample
 from millrace.operators.throttle import apply_steps, block_steps, compose, kept_mask, throttle
 from millrace.schemas import DEVICE, TIME, VALUE
-from millrace.session import bounded
+from millrace.session import bounded, stage
 from workload.tables import events_clean
 
 SF = "/root/testdata/sf0.01"
@@ -60,6 +64,76 @@ def test_lttb_blocked(skewed):
     same(lttb(skewed, samples=50, threshold=60), lttb(skewed, samples=50, threshold=60, hot_rows=500, chunk=200))
 
 
+SHAPES = {
+    "ramp of a tenth": "0.1 * n", "ramp with offset": "0.37 * n + 5", "constant": "0.1", "steps": "floor(n / 100)",
+    "counter": "n", "few levels": "pmod(xxhash64(n), 3)", "noise": "rand(7)",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_lttb_does_not_depend_on_how_a_series_is_cut(spark, shape):
+    rows = spark.range(4000, numPartitions=4).selectExpr(
+        "id as n", f"timestamp_seconds(1700000000 + id * 60) as {TIME}", f"'x' as {DEVICE}")
+    rows = stage(rows.withColumn(VALUE, F.expr(SHAPES[shape]).cast("double")), "shape")
+    cuts = [(2_000_000, 65_536), (500, 65_536), (500, 300), (500, 97)]
+    found = [[tuple(r) for r in lttb(rows, samples=30, threshold=60, hot_rows=h, chunk=c).select(TIME, VALUE).orderBy(TIME)
+              .collect()] for h, c in cuts]
+    assert len(found[0]) == 30 and all(f == found[0] for f in found[1:])
+    # The same by exact fractions.
+    points = [(int(r[0].timestamp() * 10**6), Fraction(r[1])) for r in rows.select(TIME, VALUE).orderBy(TIME).collect()]
+    buckets = [[] for _ in range(30)]
+    for p, b in zip(points, bucket_of(np.arange(4000), 4000, 30)):
+        buckets[b].append(p)
+    chosen = [buckets[0][0]]
+    for own, following in zip(buckets[1:-1], buckets[2:]):
+        (ax, ay), size = chosen[-1], len(following)
+        mx = Fraction(sum(x for x, _ in following) / size)
+        my = Fraction(float(sum(y for _, y in following)) / size)
+        chosen.append(max(own, key=lambda p: abs((ax - mx) * (p[1] - ay) - (ax - p[0]) * (my - ay))))
+    chosen.append(buckets[-1][0])
+    assert [(int(t.timestamp() * 10**6), Fraction(v)) for t, v in found[0]] == chosen
+
+
+def test_whole_numbers_of_floats():
+    values = np.array([0.1, -3.0, 0.0, 5e-324, 1e300, -0.0])
+    numbers, low = _whole(values)
+    assert [Fraction(int(n)) / 2**-low for n in numbers] == [Fraction(v) for v in values.tolist()]
+
+
+def frame_form(rows, text):
+    frame = f"PARTITION BY {DEVICE} ORDER BY {TIME} RANGE BETWEEN {text} PRECEDING AND CURRENT ROW"
+    return rows.withColumn("rolling_mean", F.expr(f"avg({VALUE}) OVER ({frame})"))
+
+
+def means(df):
+    return sorted(((r[0], r[1], None if r[2] is None else round(r[2] + 3e-8, 6)) for r in
+                   df.select(DEVICE, TIME, "rolling_mean").collect()), key=repr)
+
+
+@pytest.mark.parametrize("text", ["INTERVAL 10 SECONDS", "INTERVAL 1 HOUR", "INTERVAL 400 DAYS"])
+def test_rolling_mean_of_a_dense_series(spark, text):
+    """One row a second, some times twice, readings missing; the hot device lies in many partitions."""
+    rows = spark.range(6000, numPartitions=3).selectExpr(
+        f"if(id % 3 = 0, 'cold', 'hot') as {DEVICE}", f"timestamp_seconds(1700000000 + id - id % 7 div 6) as {TIME}",
+        f"if(id % 11 = 0, null, 1e6 + id * 0.37) as {VALUE}", "id as other")
+    rows = stage(rows, "dense")
+    expected = means(frame_form(rows, text))
+    assert means(rolling_mean(rows, text)) == expected
+    assert means(rolling_mean(rows, text, hot_rows=2500)) == expected
+    assert rolling_mean(rows, text, hot_rows=2500).columns == [*rows.columns, "rolling_mean"]
+
+
+@pytest.mark.parametrize("hot_rows", [10, 1000])
+def test_rolling_mean_of_odd_readings(spark, hot_rows):
+    values = [1.0, float("nan"), 2.0, None, float("inf"), 3.0, float("-inf"), 4.0, 5.0, None, None, None, 6.0]
+    rows = [("a", datetime(2024, 1, 1, 0, i), v) for i, v in enumerate(values)] + [(None, datetime(2024, 1, 1), 1.0)] * 12
+    df = spark.createDataFrame(rows, f"{DEVICE} string, {TIME} timestamp, {VALUE} double")
+    assert repr(means(rolling_mean(df, "INTERVAL 2 MINUTES", hot_rows=hot_rows))) == repr(means(frame_form(df, "INTERVAL 2 MINUTES")))
+    lone = spark.createDataFrame([("a", None, 1.0), ("a", datetime(2024, 1, 1), 3.0)], df.schema)
+    assert sorted(r[2] or 0 for r in means(rolling_mean(lone))) == [0, 3.0]
+    assert rolling_mean(df.limit(0)).count() == 0
+
+
 def test_positions_and_blocks_of_identical_copies(spark):
     """Copies that cannot be told apart still spread over blocks of exactly the asked size."""
     df = spark.range(5000).select(F.lit("hot").alias("k"), F.lit(1).alias("t"))
@@ -138,10 +212,11 @@ def test_hull_keeps_every_linear_maximum(points):
 @pytest.mark.parametrize("n, samples", [(13, 12), (100, 12), (1251, 1000), (5000, 1000), (50, 3)])
 def test_lttb_sample_shape(n, samples):
     rng = np.random.default_rng(n)
-    x, y = np.cumsum(rng.random(n)), rng.normal(size=n)
+    x, y = np.cumsum(rng.integers(1, 1000, n)), rng.normal(size=n)
     bucket = bucket_of(np.arange(n), n, samples)
     assert len(np.unique(bucket)) == samples
-    chosen = _choose(x, y, bucket, x, y, np.ones(n))
+    sums = [y[bucket == b].tolist() for b in range(samples)]
+    chosen = _choose(x, y, bucket, x >> 20, x & _LOW, np.ones(n, np.int64), sums)
     assert len(chosen) == samples and chosen[0] == 0 and chosen[-1] == n - 1
     assert chosen == sorted(set(chosen))
 

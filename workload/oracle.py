@@ -297,6 +297,10 @@ def oracle_sql() -> dict[str, str]:
         "rolling_mean_24h": f"""WITH {EVENTS} SELECT {DEVICE}, {TIME}, {r6(f'''avg({VALUE}) OVER (
             PARTITION BY {DEVICE} ORDER BY {TIME} RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)''')}
             AS rolling_mean FROM events_clean""",
+        "rolling_mean_dense": f"""WITH dense AS (SELECT l_returnflag AS {DEVICE}, l_quantity AS {VALUE},
+              make_timestamp((1700000000 + l_orderkey * 8 + l_linenumber) * 1000000) AS {TIME} FROM lineitem)
+            SELECT {DEVICE}, {TIME}, {r6(f'''avg({VALUE}) OVER (PARTITION BY {DEVICE} ORDER BY {TIME}
+            RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)''')} AS rolling_mean FROM dense""",
         "latest_per_device": f"""SELECT user_id AS {DEVICE}, max(ts) AS latest_measurement FROM events GROUP BY 1""",
         "devices_in": f"SELECT DISTINCT user_id AS {DEVICE} FROM events",
         "freshness": f"""WITH {customers}, last AS (SELECT user_id, max(ts) AS latest_measurement FROM events GROUP BY 1)

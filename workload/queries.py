@@ -40,7 +40,8 @@ from millrace.operators.histogram import flow_histogram, with_percent
 from millrace.operators.lttb import lttb
 from millrace.operators.quality import check_fk, check_not_null, check_unique
 from millrace.operators.reshape import explode_events, malformed_parts, pivot_measures, split_malformed
-from millrace.operators.series import gap_ranges, insert_gap_markers, mean_line, rolling_mean, stride_sample
+from millrace.operators.rolling import rolling_mean
+from millrace.operators.series import gap_ranges, insert_gap_markers, mean_line, stride_sample
 from millrace.operators.stats import (
     batch_mark,
     daily_mean,
@@ -386,6 +387,20 @@ def q_rolling_mean_24h(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rolling_mean(events_clean(spark, sf)).select(DEVICE, TIME, "rolling_mean"), "rolling_mean")
 
 
+def seconds_series(spark: SparkSession, sf: str) -> DataFrame:
+    """A dense series for each return flag: one second from row to row, by order and line."""
+    rows = table(spark, sf, "lineitem")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return rows.select(F.col("l_returnflag").alias(DEVICE), at.cast("timestamp_ntz").alias(TIME),
+                       F.col("l_quantity").alias(VALUE))
+
+
+def q_rolling_mean_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of up to 3,600 readings; the busiest device is a hot one."""
+    rows = rolling_mean(seconds_series(spark, sf), "INTERVAL 1 HOUR", hot_rows=20_000)
+    return rounded(rows.select(DEVICE, TIME, "rolling_mean"), "rolling_mean")
+
+
 def q_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """Number helpers on order prices: clamp, finite, decimal comma, fixed decimals."""
     price = F.col("o_totalprice")
@@ -482,6 +497,7 @@ def queries() -> dict:
         "lttb": q_lttb,
         "lttb_blocked": q_lttb_blocked,
         "rolling_mean_24h": q_rolling_mean_24h,
+        "rolling_mean_dense": q_rolling_mean_dense,
         "latest_per_device": lambda s, d: latest_per_device(events_clean(s, d)),
         "devices_in": lambda s, d: devices_in(events_clean(s, d)),
         "freshness": q_freshness,
