@@ -8,8 +8,17 @@ from millrace.operators.reshape import explode_events
 from millrace.operators.throttle import throttle
 from millrace.plans.pipeline import Tables
 from millrace.schemas import DEVICE, RAW, RAW_VALUE, TIME, VALUE
+from millrace.sinks.store import BATCH, Store
+from millrace.sinks.tables import open_table
 from millrace.sources.events import active_sources, read_events
-from millrace.streaming.streams import dedupe_stream, ingest_stream, run_pipeline, throttle_stream
+from millrace.streaming.streams import (
+    dedupe_stream,
+    ingest_stream,
+    run_pipeline,
+    throttle_stream,
+    throttle_stream_ordered,
+    upsert_sink,
+)
 from workload.streams import drain
 from workload.tables import event_messages, events_clean, table
 
@@ -48,6 +57,35 @@ def test_throttle_drops_idle_state(spark, parts):
     assert out.count() == throttle(rows, min_seconds=3600).count()
 
 
+@pytest.mark.parametrize("hours", [6, 100])
+def test_ordered_throttle_of_rows_out_of_order(spark, parts, tmp_path, hours):
+    """Deliveries in an order of their own, over six micro-batches; all that the watermark has passed comes out."""
+    rows, _ = parts
+    folder, delay = str(tmp_path / "late"), 12
+    mixed = F.least(F.floor((F.dayofmonth(TIME) + F.pmod(F.xxhash64(TIME), F.lit(6))) / 6), F.lit(5))
+    for part in range(6):
+        rows.filter(mixed == part).coalesce(1).write.mode("append").parquet(folder)
+    out = drain(throttle_stream_ordered(stream_of(spark, rows, folder), min_seconds=hours * 3600, delay=f"{delay} days"))
+    passed = F.unix_millis(TIME) < rows.agg(F.max(F.unix_millis(TIME))).head()[0] - delay * 86_400_000
+    expected = throttle(rows, min_seconds=hours * 3600).filter(passed)
+    assert out.count() == expected.count() > 0
+    assert out.exceptAll(expected.select(*out.columns)).isEmpty()
+
+
+def test_upsert_sink_keeps_the_last_state_and_skips_a_repeated_batch(spark, parts, tmp_path):
+    rows, folder = parts
+    counts = stream_of(spark, rows, folder).groupBy(DEVICE).agg(F.count("*").alias("n"))
+    path = str(tmp_path / "t")
+    upsert_sink(counts, path, str(tmp_path / "c"), [DEVICE], NOW).awaitTermination()
+    found = open_table(spark, path)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.groupBy(DEVICE).count().collect()))
+    snapshot = Store(spark, path).snapshot()
+    assert snapshot.marks[BATCH] == 4
+    # Without its checkpoint the stream delivers its batches again, under the same numbers.
+    upsert_sink(counts, path, str(tmp_path / "c2"), [DEVICE], NOW).awaitTermination()
+    assert Store(spark, path).snapshot().number == snapshot.number
+
+
 def test_dedupe_stream(spark, parts):
     rows, folder = parts
     twice = stream_of(spark, rows, folder).withColumn("x", F.explode(F.array(F.lit(1), F.lit(2)))).drop("x")

@@ -355,6 +355,9 @@ def oracle_sql() -> dict[str, str]:
             AS status, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Non specificata' ELSE c_mktsegment END AS place
             FROM customer""",
         "stream_throttle": THROTTLE,
+        # The watermark ends 17 days before the last event, in whole milliseconds.
+        "stream_throttle_late": f"""{THROTTLE} WHERE epoch_us({TIME}) // 1000
+            < (SELECT max(epoch_us(ts)) // 1000 FROM events) - 17 * 86400000""",
         "stream_pivot": f"""SELECT user_id AS device_id, date_trunc('day', ts) AS ts_s, {PIVOT} FROM events GROUP BY 1, 2""",
         "stream_daily_mean": f"""WITH {EVENTS}, {daily('events_clean')}
             SELECT {DEVICE}, giorno, {r6('flow_avg_day')} AS flow_avg_day FROM daily""",

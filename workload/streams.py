@@ -16,6 +16,7 @@ from millrace.streaming.streams import (
     latest_stream,
     pivot_stream,
     throttle_stream,
+    throttle_stream_ordered,
     upsert_sink,
 )
 from workload.tables import MEASURES, event_messages, table
@@ -84,6 +85,19 @@ def q_throttle(spark: SparkSession, sf: str) -> DataFrame:
     return naive(drain(throttle_stream(series(event_rows(spark, sf)), min_seconds=86_400)))
 
 
+def q_throttle_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The events in files by delivery, a fifth of them up to ten days late, one file for each micro-batch: rows that the
+    watermark has passed are thinned as in time order."""
+    folder = f"{scratch_root(spark)}/streams/{uuid.uuid4().hex}"
+    rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.when(F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0, F.pmod(F.xxhash64("event_id"), F.lit(10))).otherwise(0)
+    delivered = F.least(F.floor((F.dayofmonth("ts") + late) / 6), F.lit(5))
+    for part in range(6):
+        series(rows.filter(delivered == part)).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(series(rows).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return naive(drain(throttle_stream_ordered(stream, min_seconds=86_400, delay="17 days")))
+
+
 def q_pivot(spark: SparkSession, sf: str) -> DataFrame:
     rows = event_rows(spark, sf)
     raw = rows.select(
@@ -122,6 +136,7 @@ def q_decode(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict:
     return {
         "stream_throttle": q_throttle,
+        "stream_throttle_late": q_throttle_late,
         "stream_pivot": q_pivot,
         "stream_daily_mean": q_daily_mean,
         "stream_latest": q_latest,
