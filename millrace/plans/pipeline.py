@@ -91,20 +91,21 @@ def ensure_tables(tables: Tables, spark: SparkSession) -> Snapshot:
     return store.commit(now, missing) if missing else now
 
 
-def process_batch(tables: Tables, raw: DataFrame, batch: int | None = None, **options) -> None:
+def process_batch(tables: Tables, raw: DataFrame, batch: int | None = None, stream: str = "", **options) -> None:
     """One increment of the chain from new raw rows, as one commit.
 
     Rows without an instant go to the table ``quarantine``, each once: they have no key to be stored under. ``batch`` is
-    the number of a stream's micro-batch; one that is committed already is skipped. Without it a repeated run finds its
-    keys stored and changes nothing.
+    the number of a micro-batch of the named stream; one that is committed already is skipped. Without it a repeated run
+    finds its keys stored and changes nothing.
     """
     spark = raw.sparkSession
     store = tables.store(spark)
     now = store.snapshot()
-    if batch is not None and now.marks.get(STREAM, -1) >= batch:
+    mark = f"{STREAM} of {stream}"
+    if batch is not None and now.marks.get(mark, -1) >= batch:
         return
     with staging_scope(spark):
-        marks = {} if batch is None else {STREAM: batch}
+        marks = {} if batch is None else {mark: batch}
         raw = stage(raw, "batch")
         done = store.commit(now, _increment(now, raw, **options), marks)
     store.compact(done)

@@ -176,7 +176,7 @@ def run_pipeline(
 
     def advance(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            process_batch(tables, batch, number, **options)
+            process_batch(tables, batch, number, checkpoint, **options)
         if devices is not None and (number + 1) % refresh_every == 0:
             refresh_derived(tables, devices)
 
@@ -203,13 +203,16 @@ def upsert_sink(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], trigger: dict | None = None, dated: bool = False
 ) -> StreamingQuery:
     """An update stream into a versioned table: of every key the last state. Each micro-batch writes its own rows only
-    and is committed with its number, so one that is delivered again is skipped."""
+    and is committed with its number under the name of the checkpoint, so one that is delivered again writes nothing."""
+    mark = f"{BATCH} of {checkpoint}"
 
     def upsert(batch: DataFrame, number: int) -> None:
         store = Store(batch.sparkSession, path)
         now = store.snapshot()
-        if now.marks.get(BATCH, -1) < number:
-            store.compact(store.commit(now, [Change(ROWS, batch, keys, dated)], {BATCH: number}))
+        if now.marks.get(mark, -1) >= number:
+            batch.write.format("noop").mode("overwrite").save()  # the state of the stream goes on all the same
+        else:
+            store.compact(store.commit(now, [Change(ROWS, batch, keys, dated)], {mark: number}))
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
