@@ -1,7 +1,11 @@
 """Device CSV files."""
 
-from collections.abc import Sequence
+import csv
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,54 +23,121 @@ def _file_path() -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
-    """(header line, its files): the first line of every file, found by one pass over the text."""
+_PEEK = 1 << 16
+
+
+def _opened(path: str):
+    if path.startswith("file:") or "://" not in path:
+        return open(re.sub("^file:/+", "/", path), "rb")
+    system, place = pafs.FileSystem.from_uri(path)
+    return system.open_input_stream(place)
+
+
+def _first_line(path: str) -> str | None:
+    """The first line of a file without reading on; None if there is no such file."""
+    try:
+        stream = _opened(path)
+    except FileNotFoundError:
+        return None
+    with stream:
+        head = b""
+        while b"\n" not in head and (more := stream.read(_PEEK)):
+            head += more
+    return head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig", "replace")
+
+
+def _peek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            try:
+                line = _first_line(path)
+                found.append((path, line, line is not None))
+            except (OSError, pa.ArrowException):
+                found.append((path, None, None))
+        yield pa.RecordBatch.from_pylist([dict(zip(("path", "header", "there"), x)) for x in found], schema=_PEEKED)
+
+
+_PEEKED = pa.schema([("path", pa.string()), ("header", pa.string()), ("there", pa.bool_())])
+
+
+def _by_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header) by a pass over the text, for stores that only Spark opens."""
     lines = spark.read.text(list(paths)).select(
-        _file_path().alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    )
-    first = (
-        lines.filter("start = 0")
-        .groupBy("file")
-        .agg(F.min_by("value", "line").alias("header"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("file")).alias("files"))
+        _file_path().alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), "value",
     )
-    return [(row["header"], row["files"]) for row in first.orderBy("header").toLocalIterator()]
+    return lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+
 
+def _names(header: str) -> list[str]:
+    """Column names of a header line, which may be quoted; of equal names the later ones get their place as a suffix."""
+    names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]), [])]
+    return [n if n not in names[:i] else f"{n}_{i}" for i, n in enumerate(names)]
 
-def read_by_header(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = ()) -> DataFrame | None:
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> the files with that header, by name; missing files are left out.
+
+    Tasks read the first bytes of the files, so no content is scanned to learn the columns. The driver holds the list of
+    files, which it was given.
+    """
+    given = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths) // 16, 512)))
+    rows = given.mapInArrow(_peek, "path string, header string, there boolean").collect()
+    closed = [r["path"] for r in rows if r["there"] is None]
+    found = [(r["path"], r["header"]) for r in rows if r["there"]]
+    if closed:
+        found += [(r["path"], r["header"]) for r in _by_text(spark, existing(spark, closed)).collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in sorted(found):
+        groups.setdefault(tuple(_names(header)), []).append(path)
+    return groups
+
+
+def read_by_header(
+    spark: SparkSession, paths: Sequence[str], required: Sequence[str] = (), base: str | None = None
+) -> DataFrame | None:
     """All columns as text, united by name, plus file and line order. Files without ``required`` are skipped.
 
-    The file list comes from the caller, so the driver holds no more than it was given.
+    Every file is scanned once, together with the others of its header. With ``base``, folders ``name=value`` below it
+    are columns too.
     """
     frames = []
-    for header, files in _headers(spark, paths):
-        names = [name.strip().strip('"') for name in header.lstrip("﻿").split(",")]
-        if not set(required) <= set(names):
-            continue
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        frames.append(
-            spark.read.schema(schema)
-            .option("header", True)
-            .csv(files)
-            .select(
-                "*",
-                _file_path().alias(FILE),
-                F.struct(
-                    F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("start"),
-                    F.monotonically_increasing_id().alias("line"),
-                ).alias(LINE),
+    for names, files in sorted(headers(spark, paths).items()):
+        folders = _folder_columns(files, base) if base else {}
+        for inner, group in sorted(folders.items()) if base else [((), files)]:
+            if not set(required) <= {*names, *inner}:
+                continue
+            outer = [n for n in inner if n not in names]
+            schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, *outer)])
+            reader = spark.read.schema(schema).option("header", True)
+            if outer:
+                reader = reader.option("basePath", base)
+            frames.append(
+                reader.csv(group).select(
+                    "*",
+                    _file_path().alias(FILE),
+                    F.struct(
+                        F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("start"),
+                        F.monotonically_increasing_id().alias("line"),
+                    ).alias(LINE),
+                )
             )
-        )
     return concat_series(*frames) if frames else None
 
 
-def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The non-empty paths that exist, in full and in the given order; a pattern gives its matches by name."""
+def _folder_columns(files: Sequence[str], base: str) -> dict[tuple[str, ...], list[str]]:
+    """Names of the folders ``name=value`` between ``base`` and the files -> the files."""
+    depth, groups = len(base.rstrip("/").split("/")), {}
+    for file in files:
+        inner = tuple(part.split("=", 1)[0] for part in file.split("/")[depth:-1] if "=" in part)
+        groups.setdefault(inner, []).append(file)
+    return groups
+
+
+def placed(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The non-empty paths in full and in the given order, whether they exist or not; a pattern gives its matches."""
     jvm, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     found = []
     for path in filter(None, paths):
@@ -74,11 +145,17 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
         files = p.getFileSystem(conf)
         if any(c in path for c in "*?"):
             found += sorted(match.getPath().toString() for match in files.globStatus(p) or [])
-        elif files.exists(p):
+        else:
             found.append(files.makeQualified(p).toString())
     return found
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the full paths that exist."""
+    jvm, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    return [p for p in paths if jvm.Path(p).getFileSystem(conf).exists(jvm.Path(p))]
+
+
 def read_device_csv(
     spark: SparkSession, mapping: dict[str, str], t: str = "t", v: str = "flow_ls", k: str = DEVICE
 ) -> DataFrame | None:
@@ -86,7 +163,7 @@ def read_device_csv(
 
     Empty paths, missing files and files without both columns are skipped; None if none is left.
     """
-    names = [(device, path) for device, given in mapping.items() for path in existing(spark, [given])]
+    names = [(device, path) for device, given in mapping.items() for path in placed(spark, [given])]
     rows = read_by_header(spark, sorted({path for _, path in names}), [t, v]) if names else None
     if rows is None:
         return None
@@ -95,9 +172,13 @@ def read_device_csv(
 
 
 def read_clean_csv(spark: SparkSession, folder: str) -> DataFrame | None:
-    """All CSV files of a folder as one table, in file-name order by ``_line``; None if there is none."""
-    files = existing(spark, [f"{folder}/*.csv"])
-    return read_by_header(spark, files) if files else None
+    """All CSV files of a folder, and of folders ``name=value`` in it, as one table in file-name order by ``_line``; None
+    if there is none. It reads what ``write_csv`` has written, the device being a folder's name."""
+    files = placed(spark, [f"{folder}/*.csv", f"{folder}/*=*/*.csv"])
+    if not files:
+        return None
+    [base] = placed(spark, [folder])
+    return read_by_header(spark, files, base=base)
 
 
 def read_processed_csv(spark: SparkSession, path: str, t: str = "timestamp") -> DataFrame:

@@ -1,5 +1,6 @@
 """CSV sources and table writers."""
 
+import io
 import pathlib
 from datetime import datetime
 
@@ -23,6 +24,7 @@ from millrace.sinks.tables import (
     upsert_snapshot,
     write_csv,
 )
+from millrace.sources import csvfiles
 from millrace.sources.csvfiles import read_clean_csv, read_processed_csv
 from millrace.sources.tables import read_table
 
@@ -60,6 +62,36 @@ def test_merge_of_csv_folder(spark, tmp_path):
     assert [(r[VALUE], r["extra"]) for r in unique.orderBy(TIME).collect()] == [("4", "f"), ("1", None)]
 
 
+def test_device_folders_and_headers(spark, tmp_path):
+    rows = spark.createDataFrame([("SA:3", "2024-01-01", 1.5), ("x y+z", "2024-01-02", 2.5)], f"{DEVICE} string, t string, v double")
+    write_csv(rows, str(tmp_path / "out"))
+    (tmp_path / "out" / "more.csv").write_text('\ufeff"t","a, quoted",t\r\n2024-01-03,q,w\r\n')
+    (tmp_path / "out" / "empty.csv").write_text("")
+    back = read_clean_csv(spark, str(tmp_path / "out"))
+    found = sorted((r[DEVICE] or "", r["t"], r["v"], r["a, quoted"], r["t_2"]) for r in back.collect() if r["t"])
+    assert found == [("", "2024-01-03", None, "q", "w"), ("SA:3", "2024-01-01", "1.5", None, None),
+                     ("x y+z", "2024-01-02", "2.5", None, None)]
+
+
+def test_headers_come_from_the_first_bytes(spark, tmp_path, monkeypatch):
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text(f"a,b{i % 2}\n" + "1,2\n" * 100_000 * (i == 0))
+    paths = csvfiles.placed(spark, [f"{tmp_path}/*.csv", f"{tmp_path}/none.csv"])
+    groups = csvfiles.headers(spark, paths)
+    assert {k: len(v) for k, v in groups.items()} == {("a", "b0"): 20, ("a", "b1"): 20}
+    asked = []
+
+    class Counting(io.BytesIO):
+        def read(self, size=-1):
+            asked.append(size)
+            return super().read(size)
+
+    monkeypatch.setattr(csvfiles, "_opened", lambda path: Counting((tmp_path / "0.csv").read_bytes()))
+    assert csvfiles._first_line("any") == "a,b0" and asked == [csvfiles._PEEK]
+    by_text = csvfiles._by_text(spark, csvfiles.existing(spark, paths))
+    assert {(r["path"], r["header"]) for r in by_text.collect()} == {(f, ",".join(k)) for k, v in groups.items() for f in v}
+
+
 def test_processed_csv(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(f"timestamp,{RAW_VALUE},{VALUE},is_outlier,more\n2024-01-02,1.5,2,True,z\nx,1,1,False,z\n"
