@@ -35,7 +35,8 @@ def _series(range_key: str):
 
 def q_series_long(spark: SparkSession, sf: str) -> DataFrame:
     """A device long enough to be thinned: all lines, one second apart."""
-    rows = seconds_series(spark, sf).withColumns({DEVICE: F.lit("all"), RAW_VALUE: F.col(VALUE), OUTLIER: F.lit(False)})
+    rows = seconds_series(spark, sf).groupBy(TIME).agg(F.max(VALUE).alias(VALUE))
+    rows = rows.withColumns({DEVICE: F.lit("all"), RAW_VALUE: F.col(VALUE), OUTLIER: F.lit(False)})
     return series_query(rows, "all", "7d")
 
 
@@ -181,8 +182,8 @@ def oracle_sql() -> dict[str, str]:
         "processed_csv": f"""SELECT ts AS timestamp, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 2) AS {RAW_VALUE},
             round(CAST(CAST(value AS FLOAT) AS DOUBLE), 2) AS {VALUE}, event_type = 'error' AS {OUTLIER} FROM events""",
         "read_series_long": f"""WITH dense AS (SELECT make_timestamp((1700000000 + l_orderkey * 8 + l_linenumber) * 1000000)
-              AS {TIME}, l_quantity AS {RAW_VALUE}, l_quantity AS {VALUE}, false AS {OUTLIER}
-              FROM lineitem),
+              AS {TIME}, max(l_quantity) AS {RAW_VALUE}, max(l_quantity) AS {VALUE}, false AS {OUTLIER}
+              FROM lineitem GROUP BY 1),
             ranged AS (SELECT * FROM dense WHERE {TIME} >= (SELECT max({TIME}) FROM dense) - INTERVAL 7 DAY),
             placed AS (SELECT *, row_number() OVER (ORDER BY {TIME}) - 1 AS place, count(*) OVER () AS size FROM ranged)
             SELECT * EXCLUDE (place, size) FROM placed WHERE size <= 10000 OR place % greatest(1, size // 10000) = 0""",
