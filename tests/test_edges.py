@@ -10,7 +10,7 @@ from millrace.operators import curve, filters, histogram, series, stats
 from millrace.operators.dedupe import dedupe_first
 from millrace.operators.hampel import hampel
 from millrace.operators.quality import check_fk, check_not_null, check_unique
-from millrace.operators.reshape import explode_events, malformed_parts, pivot_measures, split_malformed
+from millrace.operators.reshape import decode_events, explode_events, malformed_parts, pivot_measures, split_malformed
 from millrace.operators.throttle import throttle
 from millrace.plans import queries as Q
 from millrace.schemas import DEVICE, MEASURE_COLUMNS, OUTLIER, RAW_VALUE, TIME, VALUE
@@ -229,6 +229,40 @@ def test_event_decoding(spark):
     assert rows["d2", "Fluid velocity 2"]["group_name"] == ""
     parts = {(r["device_id"], r["measure_name"], r["text"]) for r in malformed_parts(good).collect()}
     assert parts == {("d1", None, "7"), ("d2", "Fluid velocity 1", "3")}
+    events = sorted(r["text"] for r in malformed_parts(df).filter("part = 'event'").collect())
+    assert events == sorted(r["body"] for r in bad.collect())
+
+
+ODD_EVENTS = {
+    '{"values": [{"d": {"m": {"raw_data": 1}}}, 2]}': [("event", None, None)],
+    '[{"values": {}}]': [("event", None, None)],
+    '{"values": null}': [],
+    '{"values": {}}': [],
+    '{"values": {"d": {}, "e": [], "f": [1, 2], "g": null, "h": "{}"}}': [
+        ("device", x, None) for x in "efgh"],
+    '{"values": {"d": {"m": [1], "n": null, "o": {"raw_data": "2.5", "status": "x"}, "p": {}}}}': [
+        ("measure", "d", "m"), ("measure", "d", "n"), (None, "d", "o"), (None, "d", "p")],
+    '{"values": {"d": {"m": {"raw_data": "NaN", "timestampMsec": 5}}, "d": {"m": {"raw_data": 3}}}}': [(None, "d", "m")],
+    ' {"values": {"d": {"m": {"raw_data": 1e3}}}} ': [(None, "d", "m")],
+    "": [("event", None, None)],
+    "7": [("event", None, None)],
+}
+
+
+@pytest.mark.parametrize("event", [*ODD_EVENTS, None])
+def test_parts_of_odd_events(spark, event):
+    df = spark.createDataFrame([(event,)], "body string")
+    found = decode_events(df).collect()
+    assert sorted(((r["part"], r["device_id"], r["measure_name"]) for r in found), key=repr) == sorted(
+        ODD_EVENTS.get(event, [("event", None, None)]), key=repr)
+    assert explode_events(df).count() == sum(r["part"] is None for r in found)
+    values = {r["measure_name"]: r["raw_data"] for r in found if r["part"] is None}
+    assert values.get("o", 2.5) == 2.5 and values.get("p") is None and values.get("m") in (None, 3.0, 1000.0)
+
+
+def test_events_are_parsed_once(spark):
+    plan = decode_events(spark.createDataFrame([("{}",)], "body string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
 
 
 def test_pivot_names(spark):

@@ -39,7 +39,7 @@ from millrace.operators.hampel import hampel, hampel_incremental, reclean, rolli
 from millrace.operators.histogram import flow_histogram, with_percent
 from millrace.operators.lttb import lttb
 from millrace.operators.quality import check_fk, check_not_null, check_unique
-from millrace.operators.reshape import explode_events, malformed_parts, pivot_measures, split_malformed
+from millrace.operators.reshape import explode_events, malformed_parts, pivot_measures
 from millrace.operators.rolling import rolling_mean
 from millrace.operators.series import gap_ranges, insert_gap_markers, mean_line, stride_sample
 from millrace.operators.stats import (
@@ -198,16 +198,8 @@ def q_explode_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_malformed_events(spark: SparkSession, sf: str) -> DataFrame:
-    good, bad = split_malformed(event_messages(table(spark, sf, "events")))
-    parts = malformed_parts(good)
-    whole = bad.select(F.lit("event").alias("part"))
-    return (
-        whole.unionByName(
-            parts.select(F.when(F.col("measure_name").isNull(), "device").otherwise("measure").alias("part"))
-        )
-        .groupBy("part")
-        .agg(F.count(F.lit(1)).alias("dropped"))
-    )
+    parts = malformed_parts(event_messages(table(spark, sf, "events")))
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("dropped"))
 
 
 def q_dedupe_time(spark: SparkSession, sf: str) -> DataFrame:
