@@ -43,8 +43,8 @@ from millrace.schemas import (
     VALUE,
 )
 from millrace.session import stage, staging_scope
-from millrace.sinks.store import DATE, Change, Snapshot, Store
-from millrace.sinks.tables import advance_mark, days_of, insert_new, read_mark, table_exists, with_date, without
+from millrace.sinks.store import DATE, NO_DATE, Change, Files, Snapshot, Store
+from millrace.sinks.tables import advance_mark, days_of, insert_new, read_mark, with_date, without
 
 FLOW = "instant_flow_rate_2"
 TRANSFORM, CLEANING = "transform_raw_to_measurements", "clean_measurements"
@@ -106,8 +106,8 @@ def process_batch(tables: Tables, raw: DataFrame, batch: int | None = None, stre
         return
     with staging_scope(spark):
         marks = {} if batch is None else {mark: batch}
-        raw = stage(raw, "batch")
-        done = store.commit(now, _increment(now, raw, **options), marks)
+        changes = _increment(now, stage(raw, "batch"), **options)
+        done = store.commit(now, changes, marks) if changes or marks else now
     store.compact(done)
 
 
@@ -117,17 +117,20 @@ def run_increment(tables: Tables, spark: SparkSession, lateness: dt.timedelta =
     Only rows strictly newer than the mark are taken, so raw rows that were written later but are older are missed; with
     ``lateness`` rows up to that much older are looked at again, and those that are not stored yet come in.
     """
-    if not table_exists(spark, tables.path("raw")):
-        return 0
     now = tables.store(spark).snapshot()
     mark = read_mark(now.read("etl_state"), TRANSFORM) if now.has("etl_state") else 0
     since = max(0, mark - lateness // dt.timedelta(milliseconds=1))
-    raw = spark.read.schema(_dated(RAW)).parquet(tables.path("raw"))
-    first = dt.datetime.fromtimestamp(since / 1000, dt.UTC).date() - dt.timedelta(days=1)
-    lost = raw.filter(F.col(DATE).isNull() & F.col("parent_timestampMsec").isNull())
-    new = newer_than(raw.filter(F.col(DATE) >= F.lit(first)), "parent_timestampMsec", since)
-    process_batch(tables, new.unionByName(lost).drop(DATE), **options)
-    return read_mark(tables.read(spark, "etl_state"), TRANSFORM)
+    # Days of the session time zone; only their folders are listed. Rows without an instant are in a folder of their own.
+    first = str(dt.datetime.fromtimestamp(since / 1000, dt.UTC).date() - dt.timedelta(days=1))
+    folders = [n for n in Files(spark).names(tables.path("raw")) if n.startswith(f"{DATE}=")]
+    chosen = [f"{tables.path('raw')}/{n}" for n in folders if (day := n.removeprefix(f"{DATE}=")) >= first or day == NO_DATE]
+    if not chosen:
+        return mark
+    raw = spark.read.schema(_dated(RAW)).option("basePath", tables.path("raw")).parquet(*chosen)
+    new = newer_than(raw, "parent_timestampMsec", since).unionByName(raw.filter(F.col("parent_timestampMsec").isNull()))
+    process_batch(tables, new.drop(DATE), **options)
+    now = tables.store(spark).snapshot()
+    return read_mark(now.read("etl_state"), TRANSFORM) if now.has("etl_state") else 0
 
 
 def _increment(now: Snapshot, raw: DataFrame, **options) -> list[Change]:
@@ -202,6 +205,8 @@ def refresh_derived(
     store = tables.store(spark)
     now = store.snapshot()
     as_of = F.current_timestamp() if as_of is None else as_of
+    if not now.has("days"):
+        return
     with staging_scope(spark):
         done = store.commit(now, _derived(now, devices, as_of, bins, hours), {DERIVED: now.number})
     store.compact(done)
@@ -259,6 +264,8 @@ def regenerate_clean(tables: Tables, spark: SparkSession, **options) -> None:
     """Filter every stored series again and upsert the result and the states of all days."""
     store = tables.store(spark)
     now = store.snapshot()
+    if not now.has("days"):
+        return
     with staging_scope(spark):
         rows = with_date(reclean(now.read("clean"), **options), TIME).withColumn("updated_at", F.current_timestamp())
         rows = stage(rows, "clean")

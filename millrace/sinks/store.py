@@ -27,7 +27,7 @@ from millrace.operators.dedupe import dedupe_last
 DATE = "event_date"
 BATCH = "batch"
 _LOG = "_log"
-_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 MOST_BATCHES = 8
 
 
@@ -113,7 +113,7 @@ class Snapshot:
     def days(self, table: str) -> list[dt.date]:
         """The days a dated table has rows for, in order."""
         parts = self.tables.get(table, {}).get("parts", {})
-        return sorted(dt.date.fromisoformat(p) for p in parts if p != _NO_DATE)
+        return sorted(dt.date.fromisoformat(p) for p in parts if p != NO_DATE)
 
     def read(self, table: str, days: Iterable[dt.date] | None = None, since: int = 0) -> DataFrame:
         """The table, merged. ``days``: only these days, whose files alone are listed; ``since``: only rows of batches

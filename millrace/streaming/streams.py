@@ -163,11 +163,12 @@ def ingest_stream(
 
 def run_pipeline(
     spark: SparkSession, tables: Tables, checkpoint: str, trigger: dict | None = None, max_files: int | None = 1000,
-    devices: DataFrame | None = None, refresh_every: int = 1, **options,
+    devices: DataFrame | None = None, refresh_every: int = 1, vacuum_every: int = 100, **options,
 ) -> StreamingQuery:
     """Follow the raw table and bring the wide and clean tables up to date, one commit for each micro-batch.
 
-    With ``devices`` (the registry) the derived tables are refreshed after every ``refresh_every`` micro-batches.
+    With ``devices`` (the registry) the derived tables are refreshed after every ``refresh_every`` micro-batches. After
+    every ``vacuum_every`` all but the last 50 commits go, and the files only they name.
     """
     reader = spark.readStream.schema(RAW)
     if max_files:
@@ -179,6 +180,8 @@ def run_pipeline(
             process_batch(tables, batch, number, checkpoint, **options)
         if devices is not None and (number + 1) % refresh_every == 0:
             refresh_derived(tables, devices)
+        if (number + 1) % vacuum_every == 0:
+            tables.store(spark).vacuum(50)
 
     return (
         raw.writeStream.foreachBatch(advance)

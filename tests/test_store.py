@@ -11,7 +11,7 @@ from millrace.operators.hampel import hampel, needed_days
 from millrace.operators.histogram import flow_histogram
 from millrace.operators.stats import device_stats
 from millrace.plans import pipeline
-from millrace.plans.pipeline import Tables, ensure_tables, process_batch, refresh_derived, run_increment
+from millrace.plans.pipeline import Tables, ensure_tables, process_batch, refresh_derived, regenerate_clean, run_increment
 from millrace.schemas import DEVICE, RAW, RAW_VALUE, STATS_WINDOWS, TABLES, TIME
 from millrace.sinks.store import DATE, Change, Conflict, Files, Store
 from millrace.sinks.tables import append_raw
@@ -276,6 +276,22 @@ def test_only_needed_days_are_opened(spark):
     assert len(asked) == 3 and len(asked[0]) < 100
 
 
+def test_jobs_on_nothing(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    devices = spark.createDataFrame([("a",)], f"{DEVICE} string")
+    for _ in range(2):
+        assert run_increment(tables, spark) == 0
+        refresh_derived(tables, devices)
+        regenerate_clean(tables, spark)
+        process_batch(tables, spark.createDataFrame([], RAW))
+        ensure_tables(tables, spark)
+    assert tables.read(spark, "clean").count() == 0
+    lost = spark.createDataFrame([("a", "", 0, None, "m", 1.5, 1, 0, 0)], RAW)
+    append_raw(lost, tables.path("raw"))
+    assert run_increment(tables, spark) == run_increment(tables, spark) == 0
+    assert tables.read(spark, "quarantine").count() == 1
+
+
 def test_ensured_tables_are_those_of_the_pipeline(spark, tmp_path):
     tables = Tables(str(tmp_path))
     ensure_tables(tables, spark)
