@@ -8,7 +8,9 @@ twice where they lie and never shuffled.
 """
 
 import re
+import string
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,13 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+# The same matches in time that grows with the text: a run of digits can only match from its start, an address only from
+# the start of what stands before its @.
+_IP = re.compile(r"(?<![0-9])" + PATTERNS["ip"].pattern)
+_LOCAL = string.ascii_letters + string.digits + "._%+-"
+_DOMAIN = re.compile(PATTERNS["email"].pattern.split("@")[1])
 _NUMBER = re.compile(r"[0-9](?:[ ./-]?[0-9]){6,}")
-_SECRET = re.compile(r"(?<![0-9A-Za-z])(?=[0-9A-Za-z_]*[0-9])(?=[0-9A-Za-z_]*[A-Za-z])[0-9A-Za-z_]{20,}")
+_SECRET = re.compile(r"(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]*[0-9])(?=[0-9A-Za-z_]*[A-Za-z])[0-9A-Za-z_]{20,}")
 _HANDLE = re.compile(r"(?<![0-9A-Za-z._%+-])@[A-Za-z_][A-Za-z0-9_]{2,}")
 
 # Gazetteers.
@@ -66,20 +73,43 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = done + len(text[done:at].rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            yield start, domain.end()
+        done = domain.end() if domain else at + 1
+        at = text.find("@", done)
+
+
+def _matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping matches of a base pattern."""
+    if kind == "email":
+        return _emails(text)
+    return (m.span() for m in (_IP if kind == "ip" else PATTERNS[kind]).finditer(text))
+
+
+def _byte(part: str) -> bool:
+    value = part.lstrip("0")
+    return len(value) <= 3 and int(value or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the four base kinds, by start and then by kind as listed."""
     out = []
-    for order, (kind, pattern) in enumerate(PATTERNS.items()):
-        for m in pattern.finditer(text):
-            said = m.group()
-            digits = re.sub("[^0-9]", "", said)
+    for order, kind in enumerate(PATTERNS):
+        for start, end in _matches(kind, text):
+            said = text[start:end]
+            digits = re.sub("[^0-9]", "", said) if kind in ("card", "phone") else ""
             if (
-                kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p) > 255 for p in said.split("."))
+                kind == "ip" and not all(map(_byte, said.split(".")))
                 or kind == "card" and not (14 <= len(digits) <= 19 and luhn(digits))
                 or kind == "phone" and not 10 <= len(digits) <= 15
             ):
                 continue
-            out.append((m.start(), order, m.end(), kind))
+            out.append((start, order, end, kind))
     return [(start, end, kind) for start, _, end, kind in sorted(out)]
 
 
@@ -215,7 +245,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float
     """(key, spans: array of (kind, start, end, base)) for every row of ``docs``; places count code points.
 
     Null and empty texts have no spans. Each row is read by itself, so repeated rows have the same spans; other columns
-    are not looked at.
+    are not looked at. A very long text is read as a whole, in time that grows with its length, whatever runs it holds.
     """
     model = docs.sparkSession.sparkContext.broadcast({k for k, p in fit(count_votes(docs, text)).items() if p >= least})
 

@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
+import time
 
+import pytest
 from cases import documents
 
 from millrace.llm import pii
@@ -78,3 +81,32 @@ def test_names_behind_punctuation(spark):
     said = ['"John Miller"', "(Peter Huber)", "Mr.James Smith", "name:Mary Jones", "“Hans Weber”", "©José García", "x_John Miller"]
     found = pii.count_votes(documents(spark, list(enumerate(said))))
     assert sum(n for (kind, _), n in found.items() if kind == "name") == len(said) - 1
+
+
+ALPHABETS = ["a@.", "a@.-1", "01.", "1 -", "+1 ()", "_a1 ", "a.b@c d", "25.0"]
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+def test_fast_matches_equal_the_patterns(alphabet):
+    rng = random.Random(alphabet)
+    old_secret = re.compile(pii._SECRET.pattern.replace("(?<![0-9A-Za-z_])", "(?<![0-9A-Za-z])"))
+    for _ in range(3000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(40)))
+        for kind, pattern in pii.PATTERNS.items():
+            assert list(pii._matches(kind, text)) == [m.span() for m in pattern.finditer(text)]
+        long = text.replace("a", "abcdefg")
+        assert [m.span() for m in pii._SECRET.finditer(long)] == [m.span() for m in old_secret.finditer(long)]
+
+
+@pytest.mark.parametrize("run", ["1", "0", "_", "a", "a.", "1.", "@", "@a", "a@", "+1 ", "-", "é", "1 ", "(", "James "])
+def test_a_run_of_a_million_characters(run):
+    text = f"me@here.org {run * (1_000_000 // len(run))} 8.8.8.8 {'0' * 5000}.0.0.0 {'1' * 5000}.1.1.1"
+    started = time.process_time()
+    base = pii.base_spans(text)
+    more = pii.more_spans(text, base, True)
+    for span in (base + more)[:100]:
+        pii.votes(text, *span)
+    assert time.process_time() - started < 20
+    kinds = [(text[a:b], k) for a, b, k in base]
+    assert ("8.8.8.8", "ip") in kinds and ("0" * 5000 + ".0.0.0", "ip") in kinds
+    assert any(k == "email" for _, k in kinds) and not any("1" * 5000 in t for t, k in kinds if k == "ip")
