@@ -28,6 +28,7 @@ DECAY = 1e-3
 ROUNDS = 40
 RIDGE = 0.05
 MOST_DOMAINS = 256
+_AT_ONCE = 1024  # documents or cells of the fit that are in work at a time
 
 # The query's domains and targets: each language's share of good text, and none of the rest.
 TARGETS = {"en/good": 0.55, "de/good": 0.15, "fr/good": 0.15, "es/good": 0.15}
@@ -70,22 +71,26 @@ def _fit(cells: np.ndarray, first: np.ndarray, label: np.ndarray, classes: int,
     rows = len(label)
     if not rows:
         return weight
-    row = np.repeat(np.arange(rows), np.diff(first))
+    row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(first))
     common = (np.bincount(cells, minlength=CELLS) >= RARE)[cells]
     cells, row = cells[common], row[common]
     first = np.searchsorted(row, np.arange(rows + 1))
-    order = np.argsort(cells, kind="stable")
-    by_cell, row_by_cell = cells[order], row[order]
-    begin = np.flatnonzero(np.diff(by_cell, prepend=-1))
-    used = by_cell[begin]
+    order = np.argsort(cells, kind="stable").astype(np.int32)
+    row_by_cell = row[order]
+    begin = np.flatnonzero(np.diff(cells[order], prepend=-1))
+    used = cells[order[begin]]
+    del order, row
+    pieces = [slice(a, a + _AT_ONCE) for a in range(0, len(begin), _AT_ONCE)]
+    limits = np.append(begin, len(row_by_cell))
     truth = np.eye(classes, dtype=np.float32)[label]
     moment, square = np.zeros_like(weight), np.zeros_like(weight)
     for k in range(1, rounds + 1):
         p = _softmax(_logits(weight, cells, first))
         wrong = (p - truth) / rows
         slope = DECAY * weight
-        if len(used):
-            slope[used] += np.add.reduceat(wrong[row_by_cell], begin, axis=0)
+        for piece in pieces:
+            a, b = limits[piece.start], limits[min(piece.stop, len(begin))]
+            slope[used[piece]] += np.add.reduceat(wrong[row_by_cell[a:b]], begin[piece] - a, axis=0)
         slope[CELLS] = wrong.sum(0)
         moment = 0.9 * moment + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
@@ -95,9 +100,11 @@ def _fit(cells: np.ndarray, first: np.ndarray, label: np.ndarray, classes: int,
 
 def _logits(weight: np.ndarray, cells: np.ndarray, first: np.ndarray) -> np.ndarray:
     out = np.repeat(weight[CELLS:], len(first) - 1, axis=0)
-    full = np.flatnonzero(np.diff(first))
-    if len(full):
-        out[full] += np.add.reduceat(weight[cells], first[full], axis=0)
+    for at in range(0, len(first) - 1, _AT_ONCE):
+        own = first[at : at + _AT_ONCE + 1]
+        full = np.flatnonzero(np.diff(own))
+        if len(full):
+            out[at + full] += np.add.reduceat(weight[cells[own[0] : own[-1]]], own[full] - own[0], axis=0)
     return out
 
 
@@ -112,7 +119,8 @@ def classifier(docs: DataFrame, labelled: DataFrame, facets: list[str], key: str
     rows = sample(docs, labelled, key, text, most).select(key, *facets, "cells").toArrow().sort_by(key)
     data = rows["cells"].to_pylist()
     first = np.concatenate([[0], np.cumsum([len(x) // 2 for x in data])]).astype(np.int64)
-    cells = np.frombuffer(b"".join(data), "<u2").astype(np.int64)
+    cells = np.frombuffer(b"".join(data), "<u2").astype(np.int32)
+    del data
     values, weights = [], []
     for facet in facets:
         said = ["" if v is None else v for v in rows[facet].to_pylist()]
