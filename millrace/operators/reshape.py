@@ -75,8 +75,8 @@ def decode_events(df: DataFrame, body: str = "body") -> DataFrame:
 
     part "event": the body is no JSON object, or its ``values`` are none; "device" and "measure": that member is no
     object. ``text`` holds such a part as it came; its siblings are kept. An event without ``values`` and a device
-    without measures are empty, not malformed. Numbers in text are read as numbers. Of a key given twice the last counts
-    if ``spark.sql.variant.allowDuplicateKeys`` is set, as ``build_session`` does; else such an event is malformed.
+    without measures are empty, not malformed. Numbers in text are read as numbers. An event with a key given twice is
+    malformed, unless the session sets ``spark.sql.variant.allowDuplicateKeys``: then the last one counts.
     """
     events = df.select(F.col(body).alias("_body"), F.try_parse_json(body).alias("_event"))
     events = events.withColumn("_values", F.try_variant_get("_event", "$.values", "variant"))

@@ -19,8 +19,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Of a key given twice in an event, the last counts.
-    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

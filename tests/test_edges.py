@@ -242,7 +242,7 @@ ODD_EVENTS = {
         ("device", x, None) for x in "efgh"],
     '{"values": {"d": {"m": [1], "n": null, "o": {"raw_data": "2.5", "status": "x"}, "p": {}}}}': [
         ("measure", "d", "m"), ("measure", "d", "n"), (None, "d", "o"), (None, "d", "p")],
-    '{"values": {"d": {"m": {"raw_data": "NaN", "timestampMsec": 5}}, "d": {"m": {"raw_data": 3}}}}': [(None, "d", "m")],
+    '{"values": {"d": {"m": {"raw_data": "NaN", "timestampMsec": 5}}, "d": {"m": {"raw_data": 3}}}}': [("event", None, None)],
     ' {"values": {"d": {"m": {"raw_data": 1e3}}}} ': [(None, "d", "m")],
     "": [("event", None, None)],
     "7": [("event", None, None)],
