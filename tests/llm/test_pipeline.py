@@ -41,7 +41,7 @@ def test_stages(spark, tmp_path):
 
 def test_registration():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
 
