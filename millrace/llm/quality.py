@@ -1,188 +1,237 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of trusted text and perplexity thresholds by language.
+"""Quality classifier: an interpolated modified Kneser-Ney word model of trusted text and perplexity thresholds by
+language.
 
-Words become one of ``CLASSES`` classes (short words as they are, long ones by their last three bytes, with length and
-case), so that a pair of classes is one of at most ``CLASSES ** 2`` keys: that is the proven bound of the table that
-scoring broadcasts. Counts come from all trusted text: a pair counts once for each different class before it, so a text
-that was copied a thousand times, or a run of one word, teaches no more than a single copy. The counts are joined with
-those of their contexts, shard by shard of the pair's hash.
+Words (case kept, as 64-bit hashes) of every distinct trusted text are counted as n-grams of ``ORDER`` words, with marks
+for start and end. The highest order keeps raw counts; lower orders count different predecessors, but for those that begin
+with a start mark, which have none. Each order has three discounts, from how many n-grams were counted once to four times.
 
-A word that stands a third time in a row has a class that is never counted: such runs are always a surprise.
+The logarithm of an interpolated probability is a sum over n-grams: the word's own, and for each known longer n-gram the
+amount by which it differs, plus the weight with which its context passes on mass to lower orders. So the model becomes
+one table (key of an n-gram, weight) that grows with the trusted text, and a document's surprise is the sum of the weights
+of all its n-grams: its pre-aggregated n-grams are joined with the table by key, shard by shard. N-grams that are
+at least 1/``HOT`` of the training text, at most ``HOT`` of each order, are looked up before the shuffle instead, so no
+frequent word becomes a hot key. A bitmap spares the shuffle of n-grams that the table surely lacks.
 
-A fifth of the trusted documents stays out of training. Their surprise per word gives the quartiles of each language;
-a document is rejected if it lies ``FENCE`` interquartile ranges above the third. Short documents are drawn to the mean
-of their language by ``PRIOR`` words.
+A word that stands a third time in a row becomes a mark of its own that is never counted: such runs are always a surprise.
+
+A fifth of the trusted texts, chosen by the text, stays out of training. Their surprise per word gives the quartiles of
+each language; a document is rejected if it lies ``FENCE`` interquartile ranges above the third. Short documents are drawn
+to the mean of their language by ``PRIOR`` words.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 from millrace.llm import words as W
 from millrace.llm.shared import bitmap, carried, documents, in_bitmap, table
 from millrace.session import stage
 
-CLASSES = 4096
+ORDER = 2
+HOT = 1 << 18
 FENCE = 3.0
 PRIOR = 10.0
 FOLDS = 5
 LEAST = 20
-_START, _TWICE, _RUN, _FIRST = 0, 1, 2, 3
-OWN = ["n_words", "surprise"]
-
-
-def classes(found: W.Words) -> np.ndarray:
-    """The class of each word."""
-    data, size = found.data, found.end - found.start
-    upper = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
-    capitals = np.minimum(upper[found.end] - upper[found.start], 2)
-    tail = np.zeros(len(size), np.uint64)
-    for k in range(4):
-        last = W.LOWER[data[np.maximum(found.end - 1 - k, 0)]] if len(size) else np.zeros(0, np.uint8)
-        use = (size > k) & ((k < 3) | (size <= 4))
-        tail = tail * np.uint64(256) + np.where(use, last, 0).astype(np.uint64)
-    shape = (np.minimum(size, 6) * 4 + capitals).astype(np.uint64)
-    out = (W.mix(tail * np.uint64(64) + shape) % np.uint64(CLASSES - _FIRST)).astype(np.int64) + _FIRST
-    again = np.zeros(len(size), bool)
-    again[1:] = (found.code[1:] == found.code[:-1]) & (found.row[1:] == found.row[:-1])
-    run = again.copy()
-    run[1:] &= again[:-1]
-    out[again] = _TWICE
-    out[run] = _RUN
-    return out
-
-
-def _before(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The class before each; ``_START`` at the beginning of a document."""
-    out = np.empty_like(ids)
-    out[1:] = ids[:-1]
-    out[begins] = _START
-    return out
+START, END, RUN = 1, 2, 3
+UNIT = 1 << 20
+_BITS = 1 << 26
+_ODD = W.mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
+def keys(*codes: np.ndarray) -> np.ndarray:
+    """The key of the n-grams with the given words."""
+    total = np.full(len(codes[0]), len(codes), np.uint64)
+    for odd, code in zip(_ODD, codes, strict=False):
+        total = W.mix(total + code.view(np.uint64)) * odd
+    return W.signed(W.mix(total))
+
+
+def _marked(found: W.Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, rows, place in the row) of the texts that have words: ``order - 1`` start marks, the words, an end mark."""
+    size = np.diff(found.first)
+    has = np.flatnonzero(size)
+    full = size[has] + order
+    first = np.cumsum(full) - full
+    row = np.repeat(has, full)
+    place = np.arange(len(row)) - np.repeat(first, full)
+    code = np.full(len(row), START, np.uint64)
+    code[first + full - 1] = END
+    said = found.code.copy()
+    same = (said[1:] == said[:-1]) & (found.row[1:] == found.row[:-1])
+    said[2:][same[1:] & same[:-1]] = RUN
+    code[(place >= order - 1) & (place < np.repeat(full - 1, full))] = said
+    return W.signed(code), row, place
+
+
+def _codes(m: int) -> list[str]:
+    return [f"g{k}" for k in range(m)]
 
 
 def trusted(labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, held): ids whose labels all say good and none toxic; ``held`` marks those kept from training."""
+    """(doc_id): ids whose labels all say good and none toxic."""
     good = labels.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("x"))
-    return good.filter("q = 1 and x = 0").select(
-        F.col(key).cast("long").alias("doc_id"), (F.pmod(F.xxhash64(F.col(key)), F.lit(FOLDS)) == 0).alias("held"))
+    return good.filter("q = 1 and x = 0").select(F.col(key).cast("long").alias("doc_id"))
 
 
-def _pairs(docs: DataFrame, known: DataFrame, key: str, text: str) -> DataFrame:
-    """(pair, n): for each pair of classes in the trusted texts, how many different classes stand before it."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(known, "doc_id"))
+def _held(text):
+    """Whether a trusted text stays out of training; copies are on one side."""
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0
 
-    def encode(batches):
-        for batch in batches:
-            batch = batch.filter(batch.column(key).is_valid())
-            batch = batch.filter(pa.array(in_bitmap(wanted.value, batch.column(key).to_numpy())))
-            for part in W.slices(batch, text):
-                found = W.find_words(part.column(text), W.SPACED, W.KEEP_CASE)
-                ends = (found.first[1:] * 2).astype(np.int32)
-                data = classes(found).astype("<u2")
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(key), pa.Array.from_buffers(
-                        pa.binary(), found.rows,
-                        [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(data)])],
-                    names=["doc_id", "ids"])
-
-    def triples(batches):
-        held = []
-        for data in (whole.column("ids")[at : at + 256].to_pylist() for whole in batches
-                     for at in range(0, whole.num_rows, 256)):
-            size = np.array([len(x) // 2 for x in data], np.int64)
-            ids = np.frombuffer(b"".join(data), "<u2").astype(np.int64)
-            begins = (np.cumsum(size) - size)[size > 0]
-            one = _before(ids, begins)
-            two = _before(one, begins)
-            triple = (one * CLASSES + ids) * CLASSES + two
-            held.append(np.unique(triple[ids != _RUN]))
-            if sum(map(len, held)) > 1_000_000:
-                held = [np.unique(np.concatenate(held))]
-                if len(held[0]) > 500_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(held.pop())], names=["triple"])
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["triple"])
-
-    rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
-    coded = rows.mapInArrow(encode, "doc_id long, ids binary").join(known.filter("not held").select("doc_id"), "doc_id")
-    found = coded.select("ids").mapInArrow(triples, "triple long").distinct()
-    return found.groupBy(F.shiftright("triple", 12).cast("int").alias("pair")).agg(F.count("*").alias("n"))
-
-
-def _discounts(counts: DataFrame) -> list[float]:
-    """The three discounts of modified Kneser-Ney, from how many keys were counted once to four times."""
-    seen = {r["n"]: r["keys"] for r in counts.filter("n <= 4").groupBy("n").agg(F.count("*").alias("keys")).collect()}
+
+def count_grams(texts: DataFrame, order: int = ORDER, text: str = "text") -> DataFrame:
+    """(g0, g1, ..., c): how often each n-gram of ``order`` words and marks stands in the texts."""
+    names = _codes(order)
+
+    def count(batches):
+        for whole in batches:
+            for batch in W.slices(whole, text):
+                code, _, place = _marked(W.find_words(batch.column(text), W.SPACED, W.KEEP_CASE), order)
+                at = np.flatnonzero((place >= order - 1) & (code != RUN))
+                key = keys(*(code[at - back] for back in range(order - 1, -1, -1)))
+                _, some, n = np.unique(key, return_index=True, return_counts=True)
+                words = [pa.array(code[at[some] - back]) for back in range(order - 1, -1, -1)]
+                yield pa.RecordBatch.from_arrays([*words, pa.array(n.astype(np.int64))], names=[*names, "c"])
+
+    found = texts.select(text).mapInArrow(count, "".join(f"{g} long, " for g in names) + "c long")
+    return found.groupBy(*names).agg(F.sum("c").alias("c"))
+
+
+def _cut(counts: DataFrame):
+    """The discount of modified Kneser-Ney as a column, from how many n-grams were counted once to four times."""
+    seen = {r["k"]: r["keys"] for r in counts.filter("k <= 4").groupBy("k").agg(F.count("*").alias("keys")).collect()}
     n1, n2, n3, n4 = (max(1, seen.get(k, 0)) for k in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2)
-    return [min(max(d, 0.05), k - 0.05) for k, d in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2),
-                                                      (3, 3 - 4 * y * n4 / n3))]
-
-
-def _discount(discounts: list[float]):
-    one, two, more = discounts
-    return F.when(F.col("n") == 1, one).when(F.col("n") == 2, two).otherwise(more)
-
-
-def train(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> tuple:
-    """(pairs, discounted probabilities, weight of the lower order by context, lower-order probabilities)."""
-    pairs = stage(_pairs(docs, known, key, text), "pairs")
-    pairs = pairs.select("pair", F.shiftright("pair", 12).alias("context"),
-                         F.col("pair").bitwiseAND(CLASSES - 1).alias("word"), "n")
-    cut = _discount(_discounts(pairs))
-    context = pairs.groupBy("context").agg(F.sum("n").alias("total"), F.sum(cut).alias("freed"))
-    upper = pairs.join(context, "context").select("pair", ((F.col("n") - cut) / F.col("total")).cast("float").alias("p"))
-    upper = upper.toArrow().sort_by("pair")
-    weight = np.ones(CLASSES)
-    for row in context.toArrow().to_pylist():
-        weight[row["context"]] = row["freed"] / row["total"]
-    follow = np.zeros(CLASSES)
-    found = pairs.groupBy("word").agg(F.count("*").alias("n"))
-    for row in found.toArrow().to_pylist():
-        follow[row["word"]] = row["n"]
-    low = np.array([0, *_discounts(found)])[np.minimum(follow, 3).astype(int)]
-    total = max(follow.sum(), 1)
-    lower = (follow - low) / total + (low.sum() / total if follow.sum() else 1.0) / CLASSES
-    return (upper["pair"].to_numpy(), upper["p"].to_numpy().astype(np.float16), weight.astype(np.float32), lower.astype(np.float32))
-
-
-_dense: list[tuple] = []
-
-
-def _table(model: tuple) -> np.ndarray:
-    """-log p(word | context) of every pair in half precision, made once in a worker."""
-    if not _dense or _dense[0][0] is not model:
-        pair, p, weight, lower = model
-        full = np.empty(CLASSES**2, np.float16)
-        for at in range(0, CLASSES, 256):
-            part = np.outer(weight[at : at + 256], lower).reshape(-1)
-            a, b = np.searchsorted(pair, [at * CLASSES, (at + 256) * CLASSES])
-            part[pair[a:b] - at * CLASSES] += p[a:b]
-            full[at * CLASSES : (at + 256) * CLASSES] = -np.log(part)
-        _dense[:] = [(model, full)]
-    return _dense[0][1]
-
-
-def score(docs: DataFrame, model: tuple, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_words`` and ``surprise``, the negative logarithm of the probability of all its words."""
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    one, two, more = (min(max(d, 0.05), k - 0.05) for k, d in (
+        (1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3)))
+    return F.when(F.col("k") == 1, one).when(F.col("k") == 2, two).otherwise(more)
+
+
+def _fixed(value) -> F.Column:
+    return F.round(value * UNIT).cast("int")
+
+
+def train(texts: DataFrame, order: int = ORDER, text: str = "text") -> tuple[DataFrame, int, int]:
+    """(key, weight, c) of all n-grams of the training texts, staged; their words and marks; the weight of an unknown word.
+
+    Weights are logarithms in units of 1/``UNIT``, so that sums do not depend on their order. An n-gram's weight is its
+    logarithm of interpolated probability, less what its ending and its context's mass already give, plus the mass it
+    leaves as a context itself. Words are weighed against an unknown one.
+    """
+    counts = {order: stage(count_grams(texts, order, text).withColumn("k", F.col("c")), "grams")}
+    for m in range(order - 1, 0, -1):
+        some = counts[m + 1].groupBy(*(F.col(f"g{k + 1}").alias(f"g{k}") for k in range(m)))
+        some = some.agg(F.sum("c").alias("c"), F.count("*").alias("k"))
+        counts[m] = stage(some.withColumn("k", F.when(F.col("g0") == START, F.col("c")).otherwise(F.col("k"))), "grams")
+    one = counts[1]
+    cut = _cut(one)
+    total, freed, size, words = one.agg(F.sum("k"), F.sum(cut), F.count("*"), F.sum("c")).first()
+    unknown = (freed / total if total else 1.0) / (size + 1)
+    least = float(np.log(unknown))
+    level = one.select("g0", "c", ((F.col("k") - cut) / F.lit(float(total or 1)) + unknown).alias("p"))
+    gain = F.log("p") - F.when(F.col("g0") == END, 0.0).otherwise(least)
+    weights = []
+    for m in range(1, order + 1):
+        level = level.withColumn("gain", gain)
+        if m == order:
+            weights.append(level.select(*_codes(m), "c", "gain"))
+            break
+        cut = _cut(counts[m + 1])
+        context = counts[m + 1].groupBy(*_codes(m)).agg(
+            F.sum("k").alias("total"), F.sum(cut).alias("freed"), F.sum("c").alias("seen"))
+        context = stage(context, "contexts")
+        both = level.join(context.withColumn("left", F.log(F.col("freed") / F.col("total"))), _codes(m), "full")
+        weights.append(both.select(*_codes(m), F.coalesce("c", "seen").alias("c"),
+                                   (F.coalesce("gain", F.lit(0.0)) + F.coalesce("left", F.lit(0.0))).alias("gain")))
+        ending = level.select(*(F.col(f"g{k}").alias(f"g{k + 1}") for k in range(m)), F.col("p").alias("lower"))
+        level = counts[m + 1].join(context.drop("seen"), _codes(m)).join(ending, _codes(m + 1)[1:])
+        mass = F.col("freed") / F.col("total")
+        level = level.select(*_codes(m + 1), "c", mass.alias("mass"), "lower",
+                             ((F.col("k") - cut) / F.col("total") + mass * F.col("lower")).alias("p"))
+        level = stage(level, "level") if m + 1 < order else level
+        gain = F.log("p") - F.log("mass") - F.log("lower")
+
+    def named(m: int):
+        def run(batches):
+            for batch in batches:
+                key = keys(*(batch.column(g).to_numpy() for g in _codes(m)))
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("weight"), batch.column("c")],
+                                                 names=["key", "weight", "c"])
+
+        return run
+
+    full = None
+    for m, rows in enumerate(weights, 1):
+        rows = rows.select(*_codes(m), _fixed(F.col("gain")).alias("weight"), "c")
+        rows = rows.mapInArrow(named(m), "key long, weight int, c long")
+        full = rows if full is None else full.union(rows)
+    return stage(full, "weights"), int(words or 0), round(least * UNIT)
+
+
+def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Adds ``_id`` and ``_h``, which rows of one id and text share; the id of rows without one is made of the text."""
+    said = F.col(text).cast("string")
+    return docs.withColumn("_id", F.coalesce(F.col(key).cast("long"), F.xxhash64(said))).withColumn("_h", F.hash(said))
+
+
+def score(docs: DataFrame, model: tuple, order: int = ORDER, text: str = "text") -> DataFrame:
+    """(_id, _h, n_words, surprise) of the texts of ``docs`` (_id, _h, text): the negative logarithm of the probability of
+    all words and the end of the text. Repeated rows have one result."""
+    weights, total, unknown = model
+    spark = docs.sparkSession
+    often = weights.filter(F.col("c") * HOT >= total).select("key", "weight").toArrow().sort_by("key")
+    rare = weights.filter(F.col("c") * HOT < total).select("key", "weight")
+    known = spark.sparkContext.broadcast((often["key"].to_numpy(), often["weight"].to_numpy().astype(np.int64),
+                                          bitmap(rare, "key", _BITS)))
 
     def run(batches):
+        hot, value, there = known.value
         for whole in batches:
             for batch in W.slices(whole, text):
                 found = W.find_words(batch.column(text), W.SPACED, W.KEEP_CASE)
-                ids = classes(found)
                 size = np.diff(found.first)
-                before = _before(ids, found.first[:-1][size > 0])
-                lost = _table(known.value)[before * CLASSES + ids].astype(np.float64)
-                sums = np.bincount(found.row, lost, minlength=found.rows)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size, pa.int64()), pa.array(sums, pa.float64())],
-                                                 names=[*batch.schema.names, *OWN])
-
-    base = docs.drop(*OWN).withColumn(text, F.col(text).cast("string"))
-    own = _parse_datatype_string("n_words long, surprise double")
-    return base.mapInArrow(run, StructType(base.schema.fields + own.fields))
+                code, row, place = _marked(found, order)
+                sums = size * unknown
+                some, rows = [], []
+                for m in range(1, order + 1):
+                    at = np.flatnonzero(place >= order - 1 - (m < order))
+                    key = keys(*(code[at - back] for back in range(m - 1, -1, -1)))
+                    if len(hot):
+                        near = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+                        hit = hot[near] == key
+                        sums = sums + np.bincount(row[at[hit]], value[near[hit]], minlength=len(size)).astype(np.int64)
+                        key, at = key[~hit], at[~hit]
+                    use = in_bitmap(there, key)
+                    some.append(key[use])
+                    rows.append(row[at[use]])
+                key, at = np.concatenate(some), np.concatenate(rows)
+                by = np.lexsort((key, at))
+                key, at = key[by], at[by]
+                new = np.ones(len(key) + 1, bool)
+                new[1:-1] = (key[1:] != key[:-1]) | (at[1:] != at[:-1])
+                edge = np.flatnonzero(new)
+                key, at, n = key[edge[:-1]], at[edge[:-1]], np.diff(edge)
+                ids, h = batch.column("_id").to_numpy(), batch.column("_h").to_numpy()
+                whose = np.concatenate([at, np.arange(len(size))])
+                spread = W.signed(W.mix(ids.astype(np.int64).view(np.uint64) + h.astype(np.int64).view(np.uint64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([key, spread])), pa.array(ids[whose]), pa.array(h[whose]),
+                     pa.array(np.concatenate([n, size]), pa.int32()),
+                     pa.array(np.concatenate([np.zeros(len(key), np.int64), sums]),
+                              mask=np.arange(len(whose)) < len(key))], names=["key", "_id", "_h", "n", "own"])
+
+    rows = docs.select("_id", "_h", F.col(text).cast("string").alias(text))
+    found = rows.mapInArrow(run, "key long, _id long, _h int, n int, own long").alias("d")
+    sure = F.col("d.own").isNull() & (F.col("d.key") == F.col("m.key"))
+    joined = found.join(rare.alias("m"), sure, "left")
+    # Rows of the same id and text all add the same, so the sums are divided by their number.
+    sums = joined.groupBy("_id", "_h").agg(
+        F.sum(F.coalesce(F.col("own"), F.col("n") * F.coalesce(F.col("weight").cast("long"), F.lit(0)))).alias("sum"),
+        F.sum(F.when(F.col("own").isNotNull(), F.col("n").cast("long"))).alias("words"), F.count("own").alias("copies"))
+    return sums.select("_id", "_h", (F.col("words") / F.col("copies")).cast("long").alias("n_words"),
+                       (-F.col("sum") / F.col("copies") / UNIT).alias("surprise"))
 
 
 def thresholds(scored: DataFrame, known: DataFrame) -> DataFrame:
@@ -190,7 +239,7 @@ def thresholds(scored: DataFrame, known: DataFrame) -> DataFrame:
 
     Quartiles are exact to a thousandth: they come from counts by thousandth, so no group of documents is gathered.
     """
-    held = stage(scored.filter("n_words > 0").join(known.filter("held").select("doc_id"), "doc_id")
+    held = stage(scored.filter("held and n_words > 0").join(known.select("doc_id"), "doc_id")
                  .select("language", "n_words", "surprise"), "held")
     held = held.union(held.withColumn("language", F.lit("*")))
     mean = held.groupBy("language").agg((F.sum("surprise") / F.sum("n_words")).alias("mean"))
@@ -219,32 +268,52 @@ def _judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
         "mean", "most")
 
 
-def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"):
+def _training(docs: DataFrame, known: DataFrame, key: str, text: str) -> DataFrame:
+    """(text): the distinct trusted texts that are not held out."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(known, "doc_id"))
+
+    def likely(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(wanted.value, batch.column("doc_id").to_numpy())))
+
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~_held("text"))
+    found = rows.mapInArrow(likely, "doc_id long, text string").join(known, "doc_id", "left_semi")
+    return found.withColumn("h", F.xxhash64("text")).dropDuplicates(["h"]).select("text")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, order: int) -> DataFrame:
+    """(_id, _h, doc_id, language, n_words, surprise, threshold, keep) of every row."""
+    known = stage(trusted(labels, key), "trusted")
+    model = train(_training(docs, known, key, text), order)
+    rows = _identified(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")),
+                       "doc_id", "text")
+    found = score(rows, model, order)
+    small = rows.select("_id", "_h", F.col("doc_id").cast("long").alias("doc_id"), _held(F.col("text").cast("string"))
+                        .alias("held"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"))
+    scored = stage(small.join(found, ["_id", "_h"]), "scored")
+    return _judged(scored, thresholds(scored, known))
+
+
+def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
+             order: int = ORDER) -> DataFrame:
     """doc_id, language, n_words, perplexity, threshold (of the surprise per word) and keep, for every row of ``docs``.
 
     Null, empty and blank texts have no words, a null perplexity, and are rejected. A null language is a language of
-    its own. Repeated rows are judged alike. Without trusted documents every document with words is kept.
+    its own. Repeated rows are judged alike. Without trusted documents every document with words is kept. Very long texts
+    are read whole. Other columns are not looked at.
     """
-    known = stage(trusted(labels, key), "trusted")
-    model = train(docs, known, key, text)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit(""))
-                       .alias("language"), F.col(text).cast("string").alias("text"))
-    scored = stage(score(rows, model).drop("text"), "scored")
-    judged = _judged(scored, thresholds(scored, known))
-    ratio = F.when(F.col("n_words") > 0, F.exp(F.col("surprise") / F.col("n_words")))
-    return judged.select("doc_id", "language", "n_words", ratio.alias("perplexity"), "threshold", "keep")
+    ratio = F.when(F.col("n_words") > 0, F.exp(F.col("surprise") / (F.col("n_words") + 1)))
+    return _scored(docs, labels, key, text, lang, order).select(
+        "doc_id", "language", "n_words", ratio.alias("perplexity"), "threshold", "keep")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"):
-    """``docs`` without the rejected documents; texts are scored where they lie and not shuffled."""
-    known = stage(trusted(labels, key), "trusted")
-    model = train(docs, known, key, text)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit(""))
-                       .alias("language"), F.col(text).cast("string").alias("text"))
-    limits = thresholds(stage(score(rows, model).drop("text"), "scored"), known)
-    packed, back = carried(docs, text)
-    said = F.coalesce(F.col("_carried")[lang].cast("string"), F.lit(""))
-    return back(_judged(score(packed, model, text).withColumn("language", said), limits).filter("keep"))
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
+              order: int = ORDER) -> DataFrame:
+    """``docs`` without the documents that ``classify`` rejects."""
+    poor = stage(_scored(docs, labels, key, text, lang, order).filter(~F.col("keep")).select("_id", "_h").distinct(), "poor")
+    packed, back = carried(docs, key, text)
+    return back(_identified(packed, key, text).join(poor, ["_id", "_h"], "left_anti"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
