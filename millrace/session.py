@@ -54,16 +54,17 @@ def _staging_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def staging_scope(spark: SparkSession) -> Iterator[None]:
+def staging_scope(spark: SparkSession) -> Iterator[str]:
     """Delete what is staged inside the block when it ends well; for jobs that have written their result by then.
 
-    After an error the staged tables stay: one of them may hold the only copy of a result.
+    The value is the folder around it: ``stage`` to that what shall stay. After an error the staged tables stay: one of them may hold the only copy of a result.
     """
     outer = getattr(_scope, "folder", None)
-    folder = f"{_staging_folder(spark)}/scope-{uuid.uuid4().hex}"
+    around = _staging_folder(spark)
+    folder = f"{around}/scope-{uuid.uuid4().hex}"
     _scope.folder = folder
     try:
-        yield
+        yield around
     finally:
         _scope.folder = outer
     _delete(spark, folder)
@@ -74,16 +75,32 @@ def _delete(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the scratch area and read it back.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query that runs in the block once it has ended; for queries whose result is
+    written, so that nobody reads those files again."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the scratch area (or a ``folder`` of it) and read it back.
 
     The lineage is cut in reliable storage, so a lost executor costs no recomputation, and the
     planner sees the true size of the result: it broadcasts a small one on its own and falls back
-    to a (skew-split) sort-merge join for a large one.
+    to a (skew-split) sort-merge join for a large one. The shuffle files of the write go at its end.
     """
     spark = df.sparkSession
-    path = f"{_staging_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{folder or _staging_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    with brief_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
