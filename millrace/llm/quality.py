@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import words as W
 from millrace.llm.shared import bitmap, carried, documents, in_bitmap, table
-from millrace.session import stage
+from millrace.session import stage, staging_scope
 
 ORDER = 2
 HOT = 1 << 18
@@ -120,6 +120,11 @@ def train(texts: DataFrame, order: int = ORDER, text: str = "text") -> tuple[Dat
     logarithm of interpolated probability, less what its ending and its context's mass already give, plus the mass it
     leaves as a context itself. Words are weighed against an unknown one.
     """
+    with staging_scope(texts.sparkSession) as around:
+        return _fitted(texts, order, text, around)
+
+
+def _fitted(texts: DataFrame, order: int, text: str, around: str) -> tuple[DataFrame, int, int]:
     counts = {order: stage(count_grams(texts, order, text).withColumn("k", F.col("c")), "grams")}
     for m in range(order - 1, 0, -1):
         some = counts[m + 1].groupBy(*(F.col(f"g{k + 1}").alias(f"g{k}") for k in range(m)))
@@ -167,7 +172,7 @@ def train(texts: DataFrame, order: int = ORDER, text: str = "text") -> tuple[Dat
         rows = rows.select(*_codes(m), _fixed(F.col("gain")).alias("weight"), "c")
         rows = rows.mapInArrow(named(m), "key long, weight int, c long")
         full = rows if full is None else full.union(rows)
-    return stage(full, "weights"), int(words or 0), round(least * UNIT)
+    return stage(full, "weights", around), int(words or 0), round(least * UNIT)
 
 
 def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
