@@ -9,6 +9,10 @@ centre from its routing object, and the distance of each member from the centre.
 A search visits the pages of a task from the smallest lower bound on. The stored distances bound those of centres and
 members by the triangle inequality, so most need not be computed. Pruning is by bounds that hold, with a margin for
 rounding; scores are whole numbers, so results are exact.
+
+The tree holds vectors whose squared length is below ``LONG``: their scores are exact in floating point. Longer ones, rows
+or queries, would blur its distances; they are compared with all others in unlimited whole numbers, block by block. Scores
+beyond 64 bits count as the nearest number of 64 bits.
 """
 
 import numpy as np
@@ -25,15 +29,17 @@ K = 10
 ROUTES = 256
 PAGE = 256
 BLOCK = 4096
+LONG = 2.0**50
 _SLACK = 1e-6
 
 
 def whole_vectors(rows: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """(key, v: binary of little-endian int64, size, length): floor(scale * x) of each vector that takes part.
+    """(key, v: binary of little-endian doubles, size, length): floor(scale * x) of each vector that takes part, and its
+    squared length.
 
-    Left out: null keys, null or empty vectors, vectors with null, NaN or infinite components, or so large (2 ** 21) that
-    a score might not fit 64 bits. Of repeated keys, the
-    vector of the smallest bytes counts. Vectors of different sizes are compared as if the shorter had zeros at its end.
+    Left out: null keys, null or empty vectors, vectors with null, NaN or infinite components, or components that are
+    infinite once scaled. Of repeated keys, the vector of the smallest bytes counts. Vectors of different sizes are
+    compared as if the shorter had zeros at its end.
     """
 
     def convert(batches):
@@ -45,12 +51,11 @@ def whole_vectors(rows: DataFrame, key: str, vector: str, scale: int = SCALE) ->
             size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = pc.fill_null(lists.flatten(), float("nan")).to_numpy(zero_copy_only=False).astype(np.float64)
             first = np.concatenate([[0], np.cumsum(size)])
-            scaled = np.floor(flat * scale)
-            bad = ~(np.abs(scaled) < 2.0**31)
-            good = np.diff(np.concatenate([[0], np.cumsum(bad)])[first]) == 0
-            ints = np.where(bad, 0, scaled).astype("<i8")
-            length = np.diff(np.concatenate([[0], np.cumsum(ints.astype(np.float64) ** 2)])[first])
-            data = [ints[first[r] : first[r + 1]].tobytes() for r in np.flatnonzero(good)]
+            with np.errstate(over="ignore", invalid="ignore"):
+                scaled = np.floor(flat * scale) + 0.0  # no negative zeros
+                length = np.bincount(np.repeat(np.arange(len(size)), size), scaled**2, minlength=len(size))
+            good = np.diff(np.concatenate([[0], np.cumsum(~np.isfinite(scaled))])[first]) == 0
+            data = [scaled[first[r] : first[r + 1]].astype("<f8").tobytes() for r in np.flatnonzero(good)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").filter(pa.array(good)), pa.array(data, pa.binary()), pa.array(size[good], pa.int32()),
                  pa.array(length[good])], names=["id", "v", "size", "length"])
@@ -62,22 +67,27 @@ def whole_vectors(rows: DataFrame, key: str, vector: str, scale: int = SCALE) ->
 
 def _matrix(data: list[bytes], width: int) -> np.ndarray:
     if all(len(v) == 8 * width for v in data):
-        return np.frombuffer(b"".join(data), "<i8").reshape(len(data), width)
-    out = np.zeros((len(data), width), np.int64)
+        return np.frombuffer(b"".join(data), "<f8").reshape(len(data), width)
+    out = np.zeros((len(data), width))
     for row, v in enumerate(data):
-        x = np.frombuffer(v, "<i8")
+        x = np.frombuffer(v, "<f8")
         out[row, : len(x)] = x
     return out
 
 
-def _dots(a: np.ndarray, b: np.ndarray, exact: bool) -> np.ndarray:
-    """Inner products as whole numbers; by floating point where that is exact."""
-    return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64) if exact else a @ b.T
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of vectors shorter than ``LONG``: no sum on the way needs more than 53 bits."""
+    return (a @ b.T).astype(np.int64)
+
+
+def _long_dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers of any size, those beyond 64 bits as the nearest number of 64 bits."""
+    whole = np.frompyfunc(int, 1, 1)
+    return np.clip(whole(a) @ whole(b).T, -(2**63), 2**63 - 1).astype(np.int64)
 
 
 def _points(x: np.ndarray, most: float) -> np.ndarray:
-    y = x.astype(np.float64)
-    return np.hstack([y, np.sqrt(np.maximum(0.0, most - (y**2).sum(1)))[:, None]])
+    return np.hstack([x, np.sqrt(np.maximum(0.0, most - (x**2).sum(1)))[:, None]])
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,14 +95,17 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, d))
 
 
-def build(vectors: DataFrame, routes: int = ROUTES, page: int = PAGE) -> tuple[DataFrame, dict]:
-    """The tree over staged ``whole_vectors``: its pages as a table, and its root (routing vectors and measures)."""
+def build(vectors: DataFrame, routes: int = ROUTES, page: int = PAGE) -> tuple[DataFrame, dict, DataFrame]:
+    """The tree over staged ``whole_vectors``: its pages as a table, its root (routing vectors and measures), and the
+    vectors themselves, for those too long for it."""
     spark = vectors.sparkSession
-    top = vectors.agg(F.max("size"), F.max("length"), F.count("*")).first()
-    width, most, rows = int(top[0] or 1), float(top[1] or 0.0), int(top[2])
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(routes).select("id", "v").toArrow()
-    root = {"width": width, "most": most, "rows": rows, "exact": most * 4 < 2.0**53,
-            "ids": sample["id"].to_numpy(), "routes": _matrix(sample["v"].to_pylist(), width)}
+    short = vectors.filter(F.col("length") < LONG)
+    width = int(vectors.agg(F.max("size")).first()[0] or 1)
+    top = short.agg(F.max("length"), F.count("*")).first()
+    most, rows = float(top[0] or 0.0), int(top[1])
+    sample = short.orderBy(F.xxhash64("id"), "id").limit(routes).select("id", "v").toArrow()
+    root = {"width": width, "most": most, "rows": rows, "ids": sample["id"].to_numpy(),
+            "routes": _matrix(sample["v"].to_pylist(), width)}
     known = spark.sparkContext.broadcast(root)
 
     def assign(batches):
@@ -103,7 +116,7 @@ def build(vectors: DataFrame, routes: int = ROUTES, page: int = PAGE) -> tuple[D
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(near, pa.int32())],
                                                  names=["id", "v", "route"])
 
-    placed = stage(vectors.select("id", "v").mapInArrow(assign, "id long, v binary, route int"), "placed")
+    placed = stage(short.select("id", "v").mapInArrow(assign, "id long, v binary, route int"), "placed")
     pages = placed.groupBy("route").agg(F.ceil(F.count("*") / page).alias("pages"))
     dealt = placed.join(pages, "route").withColumn("number", F.pmod(F.xxhash64("id"), "pages").cast("int"))
 
@@ -115,13 +128,13 @@ def build(vectors: DataFrame, routes: int = ROUTES, page: int = PAGE) -> tuple[D
         route = table_["route"][0].as_py()
         up = _distances(points[centre : centre + 1], _points(known.value["routes"][route : route + 1], most))[0, 0]
         return pa.table({
-            "route": pa.array([route], pa.int32()), "centre": pa.array([x[centre].astype("<i8").tobytes()]),
+            "route": pa.array([route], pa.int32()), "centre": pa.array([x[centre].astype("<f8").tobytes()]),
             "radius": [float(apart.max())], "up": [float(up)],
             "ids": pa.array([table_["id"].to_numpy().astype("<i8").tobytes()]),
-            "vectors": pa.array([x.astype("<i8").tobytes()]), "apart": pa.array([apart.astype("<f8").tobytes()])})
+            "vectors": pa.array([x.astype("<f8").tobytes()]), "apart": pa.array([apart.astype("<f8").tobytes()])})
 
     shape = "route int, centre binary, radius double, up double, ids binary, vectors binary, apart binary"
-    return stage(dealt.groupBy("route", "number").applyInArrow(make, shape), "tree"), root
+    return stage(dealt.groupBy("route", "number").applyInArrow(make, shape), "tree"), root, vectors
 
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -137,7 +150,7 @@ def _searcher(known, k: int):
         state = known.value
         root, q, own, floor = state["root"], state["queries"], state["ids"], state["floor"].copy()
         most, width = root["most"], root["width"]
-        points = np.hstack([q.astype(np.float64), np.zeros((len(q), 1))])
+        points = np.hstack([q, np.zeros((len(q), 1))])
         squared = (points**2).sum(1)
         to_route = _distances(points, _points(root["routes"], most))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in own]
@@ -160,8 +173,8 @@ def _searcher(known, k: int):
                 apart = np.frombuffer(rows[at]["apart"], "<f8")
                 member = (np.abs(away[:, None] - apart[None, :]) <= reach[some][:, None]).any(0)
                 ids = np.frombuffer(rows[at]["ids"], "<i8")[member]
-                x = np.frombuffer(rows[at]["vectors"], "<i8").reshape(-1, width)[member]
-                scores = _dots(q[some], x, root["exact"])
+                x = np.frombuffer(rows[at]["vectors"], "<f8").reshape(-1, width)[member]
+                scores = _dots(q[some], x)
                 for row, said in zip(some, scores, strict=True):
                     good = (said >= floor[row]) & (ids != own[row])
                     if good.any():
@@ -180,28 +193,60 @@ def _searcher(known, k: int):
     return search
 
 
-def top_k(tree: tuple[DataFrame, dict], queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
+def _blocks(queries: DataFrame, block: int, width: int):
+    """(ids, vectors) of the queries, about ``block`` at a time."""
+    blocks = max(1, -(-queries.count() // block))
+    for number in range(blocks):
+        rows = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).toArrow()
+        yield rows["id"].to_numpy(), _matrix(rows["v"].to_pylist(), width)
+
+
+def _compared(vectors: DataFrame, queries: DataFrame, k: int, block: int, width: int) -> list[DataFrame]:
+    """The ``k`` best of each batch of vectors for every query, compared one by one."""
+    results = []
+    for ids, q in _blocks(queries, block, width):
+        known = vectors.sparkSession.sparkContext.broadcast((ids, q))
+
+        def run(batches, known=known):
+            own, q = known.value
+            for batch in batches:
+                there = batch.column("id").to_numpy()
+                for at, said in zip(own, _long_dots(q, _matrix(batch.column("v").to_pylist(), width)), strict=True):
+                    other = np.flatnonzero(there != at)
+                    best = other[_best(said[other], there[other], k)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(best), at)), pa.array(there[best]), pa.array(said[best])],
+                        names=["query_id", "vec_id", "score"])
+
+        found = vectors.select("id", "v").mapInArrow(run, "query_id long, vec_id long, score long")
+        results.append(stage(found, "found"))
+    return results
+
+
+def top_k(tree: tuple[DataFrame, dict, DataFrame], queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of highest inner product with each query, but for its own id.
 
-    Queries (id, v) are taken in blocks of about ``block``, each broadcast to the pages of the tree. Every block starts
-    from the scores of the routing vectors, which are rows themselves. All scores of a tie at the end count by id.
+    Queries (id, v, length) are taken in blocks of about ``block``, each broadcast to the pages of the tree. Every block
+    starts from the scores of the routing vectors, which are rows themselves. All scores of a tie at the end count by id.
     """
-    pages, root = tree
+    pages, root, vectors = tree
     spark = queries.sparkSession
-    queries = stage(queries.select("id", "v"), "queries")
-    blocks = max(1, -(-queries.count() // block))
+    queries = stage(queries.select("id", "v", "length"), "queries")
+    short = queries.filter(F.col("length") < LONG)
     parts = pages.repartition(max(1, min(4096, -(-root["rows"] // (16 * PAGE)))))
     results = []
-    for number in range(blocks):
-        rows = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).toArrow()
-        ids, q = rows["id"].to_numpy(), _matrix(rows["v"].to_pylist(), root["width"])
+    for ids, q in _blocks(short, block, root["width"]):
         floor = np.full(len(ids), -(2**62), np.int64)
         if len(ids) and len(root["ids"]) > k:
-            scores = _dots(q, root["routes"], root["exact"])
+            scores = _dots(q, root["routes"])
             scores[ids[:, None] == root["ids"][None, :]] = -(2**62)
             floor = np.sort(scores, axis=1)[:, -k]
         known = spark.sparkContext.broadcast({"root": root, "queries": q, "ids": ids, "floor": floor})
         results.append(stage(parts.mapInArrow(_searcher(known, k), "query_id long, vec_id long, score long"), "found"))
+    far = vectors.filter(F.col("length") >= LONG)
+    if not far.isEmpty():
+        results += _compared(far, short, k, block, root["width"])
+        results += _compared(vectors, queries.filter(F.col("length") >= LONG), k, block, root["width"])
     full = results[0]
     for more in results[1:]:
         full = full.union(more)
