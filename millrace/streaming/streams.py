@@ -61,61 +61,72 @@ def throttle_stream(
     )
 
 
-class OrderedThrottle(StatefulProcessor):
-    """Rows of a device wait, in a list, until the watermark has passed them; then they are thinned in time order."""
-
-    def __init__(self, gap: int, columns: Sequence[str], schema: T.StructType):
-        self.gap, self.columns, self.schema = gap, list(columns), schema
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.last = handle.getValueState("last", "us long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        at = self.schema.names.index("_us")
-        new = [tuple(r[c] for c in self.schema.names) for r in rows]
-        if new:
-            self.waiting.appendList(new)
-            self._wake(min(r[at] for r in new))
-        return iter(())
-
-    def _wake(self, us: int) -> None:
-        # The watermark must be past the time itself: rows of that very time may still come.
-        self.handle.registerTimer(us // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        at = self.schema.names.index("_us")
-        passed = timerValues.getCurrentWatermarkInMs()
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[at])
-        due = [r for r in rows if r[at] // 1000 < passed]
-        if not due:
-            # Another timer has taken these rows; only one that has nothing left to wait for drops the state.
-            if not rows and self.last.exists() and self.last.get()[0] + self.gap <= passed * 1000:
-                self.last.clear()
-            return
-        rest = rows[len(due):]
-        if rest:
-            self.waiting.put(rest)
-            self._wake(rest[0][at])
-        else:
-            self.waiting.clear()
-        last = self.last.get()[0] if self.last.exists() else _NONE_KEPT
-        keep = kept_mask(np.array([r[at] for r in due], np.int64), self.gap, last)
-        if keep.any():
-            last = due[int(np.flatnonzero(keep)[-1])][at]
-            self.last.update((last,))
-        if last != _NONE_KEPT:
-            # Once the watermark is a whole gap past it, the last kept row holds nothing back any more.
-            self.handle.registerTimer(max((last + self.gap) // 1000 + 1, passed + 1))
-        names = self.schema.names
-        for row, good in zip(due, keep):
-            if good:
-                by_name = dict(zip(names, row))
-                yield Row(**{c: by_name[c] for c in self.columns})
+def _ordered_throttle(gap: int, columns: Sequence[str], schema: T.StructType) -> StatefulProcessor:
+    """The processor of ``throttle_stream_ordered``.
+
+    Spark also loads it in a Python process of the driver, which knows neither the driver's ``sys.path`` nor the files sent
+    to the executors. A class made here is sent whole, and what it needs of this package is imported on the executors.
+    """
 
-    def close(self) -> None:
-        pass
+    class OrderedThrottle(StatefulProcessor):
+        """Rows of a device wait, in a list, until the watermark has passed them; then they are thinned in time order."""
+
+        def __init__(self, gap: int, columns: Sequence[str], schema: T.StructType):
+            self.gap, self.columns, self.schema = gap, list(columns), schema
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.waiting = handle.getListState("waiting", self.schema)
+            self.last = handle.getValueState("last", "us long")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+            at = self.schema.names.index("_us")
+            new = [tuple(r[c] for c in self.schema.names) for r in rows]
+            if new:
+                self.waiting.appendList(new)
+                self._wake(min(r[at] for r in new))
+            return iter(())
+
+        def _wake(self, us: int) -> None:
+            # The watermark must be past the time itself: rows of that very time may still come.
+            self.handle.registerTimer(us // 1000 + 1)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+            from millrace.operators.throttle import kept_mask
+
+            at = self.schema.names.index("_us")
+            passed = timerValues.getCurrentWatermarkInMs()
+            rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[at])
+            due = [r for r in rows if r[at] // 1000 < passed]
+            if not due:
+                # Another timer has taken these rows; only one that has nothing left to wait for drops the state.
+                if not rows and self.last.exists() and self.last.get()[0] + self.gap <= passed * 1000:
+                    self.last.clear()
+                return
+            rest = rows[len(due):]
+            if rest:
+                self.waiting.put(rest)
+                self._wake(rest[0][at])
+            else:
+                self.waiting.clear()
+            last = self.last.get()[0] if self.last.exists() else _NONE_KEPT
+            keep = kept_mask(np.array([r[at] for r in due], np.int64), self.gap, last)
+            if keep.any():
+                last = due[int(np.flatnonzero(keep)[-1])][at]
+                self.last.update((last,))
+            if last != _NONE_KEPT:
+                # Once the watermark is a whole gap past it, the last kept row holds nothing back any more.
+                self.handle.registerTimer(max((last + self.gap) // 1000 + 1, passed + 1))
+            names = self.schema.names
+            for row, good in zip(due, keep):
+                if good:
+                    by_name = dict(zip(names, row))
+                    yield Row(**{c: by_name[c] for c in self.columns})
+
+        def close(self) -> None:
+            pass
+
+    return OrderedThrottle(gap, columns, schema)
 
 
 def throttle_stream_ordered(
@@ -126,11 +137,11 @@ def throttle_stream_ordered(
 
     A row is held back until the watermark is past it, so rows come out ``delay`` later, and a device's state is its rows
     of that time. Rows later than that are dropped, as by every stateful operator. Needs the RocksDB state store, which
-    ``build_session`` sets.
+    ``build_session`` sets; in another session start the query inside ``rocksdb_state``.
     """
     gap = round(min_seconds * 1_000_000)
     timed = with_lateness(df.filter(F.col(t).isNotNull()).withColumn("_us", F.unix_micros(t)), t, delay)
-    processor = OrderedThrottle(gap, df.columns, T.StructType(timed.schema.fields))
+    processor = _ordered_throttle(gap, df.columns, T.StructType(timed.schema.fields))
     return timed.groupBy(k).transformWithState(processor, df.schema, "append", "EventTime")
 
 

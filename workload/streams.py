@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.schemas import DEVICE, TIME, VALUE
-from millrace.session import scratch_root
+from millrace.session import rocksdb_state, scratch_root
 from millrace.sinks.tables import open_table
 from millrace.sources.events import read_events
 from millrace.streaming.streams import (
@@ -95,7 +95,8 @@ def q_throttle_late(spark: SparkSession, sf: str) -> DataFrame:
     for part in range(6):
         series(rows.filter(delivered == part)).coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(series(rows).schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return naive(drain(throttle_stream_ordered(stream, min_seconds=86_400, delay="17 days")))
+    with rocksdb_state(spark):
+        return naive(drain(throttle_stream_ordered(stream, min_seconds=86_400, delay="17 days")))
 
 
 def q_pivot(spark: SparkSession, sf: str) -> DataFrame:
