@@ -114,10 +114,10 @@ def all_curves(devices: DataFrame, curve: DataFrame) -> DataFrame:
 
 
 def clean_files(
-    spark: SparkSession, mapping: dict[str, str], window: int = OFFLINE_WINDOW, n_sigma: float = OFFLINE_SIGMA,
+    spark: SparkSession, mapping: dict[str, str] | DataFrame, window: int = OFFLINE_WINDOW, n_sigma: float = OFFLINE_SIGMA,
     as_of: Column | None = None, formats: tuple[str, ...] = (), hot_rows: int = HOT_ROWS,
 ) -> DataFrame | None:
-    """Q8: clean the mapped CSV files in one job; None if no file can be read.
+    """Q8: clean the mapped CSV files (device -> path, or a frame of both); None if no file can be read.
 
     The first row of each readable time is kept (this also drops rows repeated as text).
     """

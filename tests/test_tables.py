@@ -92,6 +92,26 @@ def test_headers_come_from_the_first_bytes(spark, tmp_path, monkeypatch):
     assert {(r["path"], r["header"]) for r in by_text.collect()} == {(f, ",".join(k)) for k, v in groups.items() for f in v}
 
 
+def test_device_files_are_found_in_tasks_and_opened_once(spark, tmp_path, monkeypatch):
+    """A frame of patterns, most without a file; the driver expands none of the local ones."""
+    for device in ("a", "b"):
+        (tmp_path / device).mkdir()
+        for part in "12":
+            (tmp_path / device / f"{part}.csv").write_text(f"t,flow_ls\n2024-01-0{part} 00:00:00,{part}\n")
+    (tmp_path / "a" / ".1.csv.crc").write_text("x")
+    bracket = f"{tmp_path}/[b]/2.cs?"
+    given = [("a", f"{tmp_path}/a/*.csv"), ("b", f"file:{tmp_path}//b/1.csv"), ("b", bracket), ("none", f"{tmp_path}/none.csv"),
+             ("empty", ""), ("null", None), *((f"x{i}", f"{tmp_path}/x{i}/*.csv") for i in range(500))]
+    asked, on_driver = [], csvfiles.placed
+    monkeypatch.setattr(csvfiles, "placed", lambda s, paths: asked.extend(paths) or on_driver(s, paths))
+    mapping = spark.createDataFrame(given, f"{DEVICE} string, path string")
+    rows = csvfiles.read_device_csv(spark, mapping)
+    assert asked == [bracket]
+    assert sorted((r[DEVICE], r["flow_ls"]) for r in rows.collect()) == [("a", 1.0), ("a", 2.0), ("b", 1.0), ("b", 2.0)]
+    assert not [f for f in rows.unionByName(rows).inputFiles() if f.endswith(".csv")]
+    assert clean_files(spark, mapping).count() == 4
+
+
 def test_processed_csv(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(f"timestamp,{RAW_VALUE},{VALUE},is_outlier,more\n2024-01-02,1.5,2,True,z\nx,1,1,False,z\n"

@@ -116,15 +116,17 @@ def _device_files(spark: SparkSession, sf: str) -> str:
     folder = _folder(spark)
     rows = table(spark, sf, "events").select(F.col("user_id").alias(DEVICE), F.col("ts").cast("string").alias("t"),
                                              F.col("value").alias("flow_ls"), F.col("event_type").alias("note"))
-    write_csv(rows.repartition(4, DEVICE), folder)
+    write_csv(rows.repartition(DEVICE), folder)
     return folder
 
 
 def q_clean_files(spark: SparkSession, sf: str) -> DataFrame:
     """The files of all devices through the offline filter; also a device whose file is missing and one without a path."""
     folder = _device_files(spark, sf)
-    ids = [r[0] for r in table(spark, sf, "customer").select("c_custkey").distinct().collect()]
-    mapping = {str(i): f"{folder}/{DEVICE}={i}/*.csv" for i in ids} | {"none": f"{folder}/none.csv", "empty": ""}
+    key = F.col("c_custkey").cast("string")
+    mapping = table(spark, sf, "customer").select(key.alias(DEVICE), F.concat(F.lit(f"{folder}/{DEVICE}="), key, F.lit("/*.csv")))
+    others = spark.createDataFrame([("none", f"{folder}/none.csv"), ("empty", "")], f"{DEVICE} string, path string")
+    mapping = mapping.distinct().union(others)
     rows = clean_files(spark, mapping).withColumn(DEVICE, F.col(DEVICE).cast("bigint")).drop("updated_at")
     return rounded(rows.withColumn(TIME, F.col(TIME).cast("timestamp_ntz")), *HAMPEL_COLUMNS)
 
