@@ -20,7 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import HOT_ROWS, POSITION, TOTAL, key_starts, per_key_rows, sorted_positions, split_hot
+from millrace.operators.layout import (
+    HOT_ROWS,
+    POSITION,
+    TOTAL,
+    key_starts,
+    over_sorted,
+    per_key_rows,
+    sorted_positions,
+    split_hot,
+)
 from millrace.schemas import DECIMATE_ABOVE, DECIMATE_TO, DEVICE, TIME, VALUE
 
 _CHUNK = 65_536
@@ -121,11 +130,10 @@ def _exact_parts(values: list[float]) -> list[float]:
         rest = [*values, *(-p for p in parts)]
 
 
-def _reduce(table: pa.Table) -> pa.Table:
-    """Hull points of every bucket in the rows of a device; the bucket's sums move to its first point."""
-    table = table.sort_by(POSITION)
+def _reduce(table: pa.Table, part: Sequence[str]) -> pa.Table:
+    """Hull points of every bucket in rows sorted by ``part`` and place; the bucket's sums move to its first point."""
     n = table.num_rows
-    starts = key_starts(table, ["_bucket"])
+    starts = key_starts(table, [*part, "_bucket"])
     ends = np.append(starts[1:], n)
     keep = np.ones(n, dtype=bool)
     x, y = table.column("_x").to_numpy(), table.column("_y").to_numpy()
@@ -224,23 +232,25 @@ def lttb(
         F.lit(1).cast("long").alias("_n"),
     )
 
-    def reduce_chunk(table: pa.Table) -> pa.Table:
+    # Many chunks, buckets and devices share a call, so a series that was cut into small pieces does not pay for each.
+    def reduce_chunks(table: pa.Table, _: np.ndarray) -> pa.Table:
         buckets = bucket_of(table.column(POSITION).to_numpy(), table.column(TOTAL).to_numpy(), samples)
-        return _reduce(table.set_column(table.column_names.index("_bucket"), "_bucket", pa.array(buckets)))
+        return _reduce(table.set_column(table.column_names.index("_bucket"), "_bucket", pa.array(buckets)), part)
 
     # A bucket can span many chunks: its hull points are reduced once more before the walk.
-    hulls = ready.groupBy(k, "_part").applyInArrow(reduce_chunk, ready.schema)
-    bundle = F.floor(F.col("_bucket") / _BUNDLE).cast("long")
-    corners = hulls.withColumn("_part", bundle).groupBy(k, "_part").applyInArrow(_reduce, ready.schema)
-
-    def walk(table: pa.Table) -> pa.Table:
-        table = table.sort_by(POSITION)
-        starts = key_starts(table, ["_bucket"])
-        given = table.column("_sy").to_pylist()
-        ends = np.append(starts[1:], table.num_rows)
-        sums = [[v for part in given[a:b] for v in part] for a, b in zip(starts.tolist(), ends.tolist())]
-        columns = [table.column(c).to_numpy() for c in ("_x", "_y", "_bucket", "_high", "_low", "_n")]
-        chosen = _choose(*columns, sums)
+    part = [k, "_part"]
+    hulls = over_sorted(ready, part, [POSITION], reduce_chunks, ready.schema)
+    bundles = hulls.withColumn("_part", F.floor(F.col("_bucket") / _BUNDLE).cast("long"))
+    corners = over_sorted(bundles, part, [POSITION], lambda table, _: _reduce(table, part), ready.schema)
+
+    def walk(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        x, y, bucket, high, low, n = (table.column(c).to_numpy() for c in ("_x", "_y", "_bucket", "_high", "_low", "_n"))
+        given, chosen = table.column("_sy").to_pylist(), []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+            edges = [*(a + np.flatnonzero(np.append(True, np.diff(bucket[a:b]) != 0))).tolist(), b]
+            sums = [[v for row in given[c:d] for v in row] for c, d in zip(edges[:-1], edges[1:])]
+            rows = _choose(x[a:b], y[a:b], bucket[a:b], high[a:b], low[a:b], n[a:b], sums)
+            chosen += [a + row for row in rows]
         return table.take(pa.array(chosen)).select([k, t, "_y"]).rename_columns([k, t, v])
 
-    return done.unionByName(corners.groupBy(k).applyInArrow(walk, schema))
+    return done.unionByName(over_sorted(corners, [k], [POSITION], walk, schema))

@@ -221,6 +221,18 @@ def test_lttb_sample_shape(n, samples):
     assert chosen == sorted(set(chosen))
 
 
+def test_lttb_shares_calls_between_pieces(spark):
+    """Many devices in many pieces: whole series and pieces give the same, and there is no call for each piece."""
+    rows = spark.range(6000).select(
+        (F.col("id") % 30).cast("string").alias(DEVICE),
+        F.timestamp_seconds(F.col("id")).alias(TIME), F.sin(F.col("id") * 0.37).alias(VALUE))
+    cut = lttb(rows, samples=12, threshold=20, hot_rows=50, chunk=24)
+    whole = lttb(rows, samples=12, threshold=20)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    assert cut.count() == 30 * 12
+    assert "FlatMapGroupsInArrow" not in cut._jdf.queryExecution().toString()
+
+
 def test_lttb_keeps_short_series_and_ends(spark):
     rows = events_clean(spark, SF)
     assert lttb(rows).count() == rows.count()
