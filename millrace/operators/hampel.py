@@ -273,28 +273,38 @@ def needed_days(
         found = counts if found is None else counts.unionByName(found)
         found = stage(found.distinct(), "day-counts")
         limits = spark.createDataFrame([(d, *x) for d, x in limits_of.items()], f"{day} date, _lo date, _hi date")
-        near = pairs.join(limits, day).join(found, k).filter(F.col("_at").between(F.col("_lo"), F.col("_hi")))
-        have = near.groupBy(k, day, "_lo", "_hi").agg(
+        # Only a series that goes on beyond the days read can lack rows.
+        beyond = (F.col("first_day") < F.col("_lo")) | (F.col("last_day") > F.col("_hi"))
+        open_ = stage(open_.join(limits, day).filter(beyond), "open-days")
+        if open_.isEmpty():
+            break
+        near = open_.join(found, k).filter(F.col("_at").between(F.col("_lo"), F.col("_hi")))
+        have = near.groupBy(k, day).agg(
             F.coalesce(F.sum(F.when(F.col("_at") < F.col(day), F.col("n"))), F.lit(0)).alias("_before"),
             F.coalesce(F.sum(F.when(F.col("_at") > F.col(day), F.col("n"))), F.lit(0)).alias("_after"),
         )
         left = (
-            open_.join(limits, day).join(have.drop("_lo", "_hi"), [k, day], "left").na.fill(0, ["_before", "_after"])
+            open_.join(have, [k, day], "left").na.fill(0, ["_before", "_after"])
             .filter(((F.col("_before") < rows) & (F.col("first_day") < F.col("_lo")))
                     | ((F.col("_after") < rows) & (F.col("last_day") > F.col("_hi"))))
         )
-        open_ = stage(left.select(*open_.columns), "open-days")
+        open_ = stage(left.select(k, day, "first_day", "last_day"), "open-days")
     own = pairs.select(k, day)
     if found is None:
         return own
-    limits = spark.createDataFrame([(d, *x) for d, x in limits_of.items()], f"{day} date, _lo date, _hi date")
-    near = pairs.join(limits, day).join(found, k).filter(F.col("_at").between(F.col("_lo"), F.col("_hi")))
-    others = (Window.unboundedPreceding, -1)
-    side = F.col("_at") < F.col(day)
-    away = F.abs(F.datediff("_at", day))
-    nearer = F.sum("n").over(Window.partitionBy(k, day, side).orderBy(away).rowsBetween(*others))
-    needed = near.filter(F.col("_at") != F.col(day)).withColumn("_nearer", F.coalesce(nearer, F.lit(0)))
-    return own.union(needed.filter(F.col("_nearer") < rows).select(k, "_at")).distinct()
+    # Of the new days on one side of a stored day, the next one has the fewest rows between, so no other is looked at.
+    marked = own.filter(F.col(day).isNotNull()).select(k, F.col(day).alias("_at"), F.lit(None).cast("long").alias("n"))
+    both = found.select(k, "_at", "n").withColumn("_new", F.lit(False))
+    both = both.unionByName(marked.withColumn("_new", F.lit(True))).groupBy(k, "_at").agg(
+        F.sum("n").alias("n"), F.max("_new").alias("_new"))
+    others, own_n = (Window.unboundedPreceding, -1), F.coalesce("n", F.lit(0))
+    in_order, back = Window.partitionBy(k).orderBy("_at"), Window.partitionBy(k).orderBy(F.col("_at").desc())
+    both = both.withColumn("_sum", F.sum(own_n).over(in_order))
+    before = F.last(F.when(F.col("_new"), F.col("_sum")), True).over(in_order.rowsBetween(*others))
+    after = F.last(F.when(F.col("_new"), F.col("_sum") - own_n), True).over(back.rowsBetween(*others))
+    needed = both.withColumns({"_since": F.col("_sum") - own_n - before, "_until": after - F.col("_sum")})
+    needed = needed.filter(F.col("n").isNotNull() & ((F.col("_since") < rows) | (F.col("_until") < rows)))
+    return own.union(needed.select(k, "_at")).distinct()
 
 
 def hampel_incremental(
@@ -329,5 +339,7 @@ def refilter(
     def compute(rows: DataFrame, part: list[str]) -> DataFrame:
         return _with_frame_stats(rows, part, [t], radius)
 
-    cleaned = over_series(rows, k, [t], radius, compute, hot_rows).filter("_touched")
+    # Rows are counted before the join, which would run once more for it; replaced rows count twice.
+    counted = stored.select(k).unionByName(new.select(k))
+    cleaned = over_series(rows, k, [t], radius, compute, hot_rows, counted).filter("_touched")
     return _judge(cleaned, [k, t], n_sigma)

@@ -28,8 +28,12 @@ def hot_keys(df: DataFrame, k: str, hot_rows: int) -> DataFrame | None:
     return bounded(counts.filter(F.col("_rows") > hot_rows).select(k), "hot-keys")
 
 
-def split_hot(df: DataFrame, k: str, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    hot = hot_keys(df, k, hot_rows)
+def split_hot(
+    df: DataFrame, k: str, hot_rows: int, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """(other rows, rows of hot keys or None). ``counted`` has the keys of all rows of ``df``, or of more, and is cheaper to
+    count."""
+    hot = hot_keys(df if counted is None else counted, k, hot_rows)
     if hot is None:
         return df, None
     hot = hot.select(F.col(k).alias("_hot"))
@@ -97,13 +101,15 @@ def over_series(
     radius: int,
     compute: Callable[[DataFrame, list[str]], DataFrame],
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Apply row-window logic per device.
 
     ``compute(rows, part)`` adds columns using windows partitioned by the columns ``part`` and
-    ordered by ``order`` that look at most ``radius`` rows away; it keeps the other columns.
+    ordered by ``order`` that look at most ``radius`` rows away; it keeps the other columns. ``counted``: see
+    ``split_hot``.
     """
-    cold, hot = split_hot(df, k, hot_rows)
+    cold, hot = split_hot(df, k, hot_rows, counted)
     done = compute(cold, [k])
     if hot is None:
         return done

@@ -34,6 +34,7 @@ from millrace.schemas import (
     HAMPEL_WINDOW,
     HISTOGRAM,
     HISTOGRAM_BINS,
+    MEASURE_COLUMNS,
     MEASUREMENTS,
     OUTLIER,
     RAW,
@@ -44,13 +45,14 @@ from millrace.schemas import (
 )
 from millrace.session import stage, staging_scope
 from millrace.sinks.store import DATE, NO_DATE, Change, Files, Snapshot, Store
-from millrace.sinks.tables import advance_mark, days_of, insert_new, read_mark, with_date, without
+from millrace.sinks.tables import advance_mark, days_of, read_mark, with_date, without
 
 FLOW = "instant_flow_rate_2"
 TRANSFORM, CLEANING = "transform_raw_to_measurements", "clean_measurements"
 # Marks of the store: the last stream batch taken in, the last commit seen by the derived tables.
-STREAM, DERIVED = "stream_batch", "derived"
-_WIDE_KEYS, _CLEAN_KEYS = ["device_id", "ts_s"], [DEVICE, TIME]
+# REGISTRY: checksum of the devices the curve was last made for.
+STREAM, DERIVED, REGISTRY = "stream_batch", "derived", "registry"
+_CLEAN_KEYS = [DEVICE, TIME]
 _HISTOGRAM_KEYS = [DEVICE, "window_start", "window_end", "bin_index"]
 
 
@@ -105,19 +107,23 @@ def process_batch(tables: Tables, raw: DataFrame, batch: int | None = None, stre
     if batch is not None and now.marks.get(mark, -1) >= batch:
         return
     with staging_scope(spark):
-        marks = {} if batch is None else {mark: batch}
-        changes = _increment(now, stage(raw, "batch"), **options)
-        done = store.commit(now, changes, marks) if changes or marks else now
+        done = _advance(store, now, stage(raw, "batch"), {} if batch is None else {mark: batch}, **options)
     store.compact(done)
 
 
+def _advance(store: Store, now: Snapshot, raw: DataFrame, marks: dict[str, int], **options) -> Snapshot:
+    changes = _increment(now, raw, **options)
+    return store.commit(now, changes, marks) if changes or marks else now
+
+
 def run_increment(tables: Tables, spark: SparkSession, lateness: dt.timedelta = dt.timedelta(0), **options) -> int:
     """The same for the raw rows after the stored mark; returns the new mark in epoch ms.
 
     Only rows strictly newer than the mark are taken, so raw rows that were written later but are older are missed; with
     ``lateness`` rows up to that much older are looked at again, and those that are not stored yet come in.
     """
-    now = tables.store(spark).snapshot()
+    store = tables.store(spark)
+    now = store.snapshot()
     mark = read_mark(now.read("etl_state"), TRANSFORM) if now.has("etl_state") else 0
     since = max(0, mark - lateness // dt.timedelta(milliseconds=1))
     # Days of the session time zone; only their folders are listed. Rows without an instant are in a folder of their own.
@@ -128,8 +134,11 @@ def run_increment(tables: Tables, spark: SparkSession, lateness: dt.timedelta =
         return mark
     raw = spark.read.schema(_dated(RAW)).option("basePath", tables.path("raw")).parquet(*chosen)
     new = newer_than(raw, "parent_timestampMsec", since).unionByName(raw.filter(F.col("parent_timestampMsec").isNull()))
-    process_batch(tables, new.drop(DATE), **options)
-    now = tables.store(spark).snapshot()
+    # The raw files stay as they are, so they are read where they lie.
+    with staging_scope(spark):
+        done = _advance(store, now, new.drop(DATE), {}, **options)
+    store.compact(done)
+    now = store.snapshot()
     return read_mark(now.read("etl_state"), TRANSFORM) if now.has("etl_state") else 0
 
 
@@ -144,8 +153,7 @@ def _increment(now: Snapshot, raw: DataFrame, **options) -> list[Change]:
             lost = without(lost, now.read("quarantine"), keys)
         changes.append(Change("quarantine", stage(lost, "lost"), dated=False))
     raw = raw.filter(timed)
-    wide = stage(with_date(pivot_measures(raw).drop("parent_timestampMsec"), "ts_s"), "wide")
-    new = stage(insert_new(now, "measurements", wide, _WIDE_KEYS, ["ts_s"]), "insert")
+    new = stage(_unstored(now, raw), "insert")
     if not new.isEmpty():
         changes.append(Change("measurements", new))
         rows = new.select(F.col("device_id").alias(DEVICE), F.col("ts_s").alias(TIME), F.col(FLOW).alias("flow"), DATE)
@@ -159,6 +167,24 @@ def _increment(now: Snapshot, raw: DataFrame, **options) -> list[Change]:
     return changes
 
 
+def _unstored(now: Snapshot, raw: DataFrame) -> DataFrame:
+    """Wide rows, with their day, of the instants of ``raw`` that are not stored yet.
+
+    The keys stored for these days go through the same aggregation as the readings, as cells of a column of their own;
+    so rows that are looked at again are neither pivoted by themselves nor joined.
+    """
+    ms, stored = "parent_timestampMsec", "_stored"
+    # A name that is not mapped has no cell, so the column of its own is safe from it.
+    named = F.when(F.col("measure_name").isin(*MEASURE_COLUMNS), F.col("measure_name"))
+    cells = raw.select("device_id", ms, named.alias("measure_name"), "raw_data")
+    if now.has("measurements"):
+        there = now.read("measurements", days_of(with_date(raw.select(ms), ms)))
+        cells = cells.unionByName(there.select(
+            "device_id", F.unix_millis("ts_s").alias(ms), F.lit(stored).alias("measure_name"), F.lit(1.0).alias("raw_data")))
+    wide = pivot_measures(cells, MEASURE_COLUMNS | {stored: stored})
+    return with_date(wide.filter(F.col(stored).isNull()).drop(stored, ms), "ts_s")
+
+
 def clean_changes(now: Snapshot, new: DataFrame, window: int = HAMPEL_WINDOW, **options) -> list[Change]:
     """Changes of ``clean``, ``days`` and ``extents`` by new rows (device, time, flow, day).
 
@@ -207,32 +233,44 @@ def refresh_derived(
     as_of = F.current_timestamp() if as_of is None else as_of
     if not now.has("days"):
         return
+    known = devices.select(DEVICE).distinct().agg(F.sum(F.xxhash64(DEVICE).cast("decimal(38,0)"))).head()[0]
+    marks = {DERIVED: now.number, REGISTRY: int(known or 0)}
     with staging_scope(spark):
-        done = store.commit(now, _derived(now, devices, as_of, bins, hours), {DERIVED: now.number})
+        same = now.marks.get(REGISTRY) == marks[REGISTRY]
+        done = store.commit(now, _derived(now, devices, same, as_of, bins, hours), marks)
     store.compact(done)
 
 
-def _derived(now: Snapshot, devices: DataFrame, as_of: Column, bins: int, hours: int) -> list[Change]:
+def _derived(now: Snapshot, devices: DataFrame, same: bool, as_of: Column, bins: int, hours: int) -> list[Change]:
+    """``same``: the curve was last made for these devices."""
     seen = now.marks.get(DERIVED, 0)
     changed = stage(now.read("days", since=seen).filter(F.col("changed_in") > seen).select(DEVICE, DATE), "changed-days")
+    curve = Change("duration_curve", curve_from_states(now.read("days"), devices), dated=False, replace=True)
+    if seen and changed.isEmpty():
+        return ([] if same else [curve]) + _windowed(now, devices, as_of, bins, hours)
     touched = stage(changed.select(DEVICE).distinct(), "touched-devices")
     states = stage(now.read("days").join(touched, DEVICE, "left_semi"), "touched-states")
     starts = stage(period_starts(states), "starts")
     border = stage(border_days(starts), "border")
     rows = now.read("clean", days_of(border)).join(border, [DEVICE, DATE], "left_semi")
     changes = [
-        Change("stats", stage(stats_from_states(states, starts, rows, as_of), "stats"), [DEVICE], dated=False),
-        Change("duration_curve", stage(curve_from_states(now.read("days"), devices), "curve"), dated=False, replace=True),
+        Change("stats", stats_from_states(states, starts, rows, as_of), [DEVICE], dated=False), curve,
     ]
     if hours:
-        start, end = histogram_window(as_of, hours)
-        first, last = (x.date() for x in devices.sparkSession.range(1).select(start, end).head())
-        clean = now.read("clean", [d for d in now.days("clean") if first <= d <= last])
-        fresh = flow_histogram(clean, bins, hours, as_of)
-        return [*changes, Change("histogram", stage(fresh, "histogram"), _HISTOGRAM_KEYS, dated=False)]
+        return changes + _windowed(now, devices, as_of, bins, hours)
     return changes + _histogram_changes(now, states, changed, as_of, bins)
 
 
+def _windowed(now: Snapshot, devices: DataFrame, as_of: Column, bins: int, hours: int) -> list[Change]:
+    """The histogram of the last ``hours``, if any."""
+    if not hours:
+        return []
+    start, end = histogram_window(as_of, hours)
+    first, last = (x.date() for x in devices.sparkSession.range(1).select(start, end).head())
+    clean = now.read("clean", [d for d in now.days("clean") if first <= d <= last])
+    return [Change("histogram", stage(flow_histogram(clean, bins, hours, as_of), "histogram"), _HISTOGRAM_KEYS, dated=False)]
+
+
 def _histogram_changes(now: Snapshot, states: DataFrame, changed: DataFrame, as_of: Column, bins: int) -> list[Change]:
     """Bin counts of the touched days, of all days where the range or the number of bins is another, and their sums."""
     ranges = stage(ranges_from_states(states).withColumn("n_bins", F.lit(bins)), "ranges")
@@ -256,7 +294,7 @@ def _histogram_changes(now: Snapshot, states: DataFrame, changed: DataFrame, as_
     made = histogram_from_days(days, ranges.drop("n_bins"), bins, start, F.lit(None).cast("timestamp"), as_of)
     return [
         Change("ranges", ranges, [DEVICE], dated=False), Change("day_bins", fresh, [DEVICE, DATE]),
-        Change("histogram", stage(made, "histogram"), _HISTOGRAM_KEYS, dated=False),
+        Change("histogram", made, _HISTOGRAM_KEYS, dated=False),
     ]
 
 

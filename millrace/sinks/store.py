@@ -132,7 +132,9 @@ class Snapshot:
                 single += [(part, b) for b in batches]
         rows = self._scan(table, single).drop(BATCH)
         if first:
-            last = dedupe_last(self._scan(table, later), keys, [BATCH]).drop(BATCH)
+            last = self._scan(table, later)
+            # A batch has one row for each key.
+            last = (dedupe_last(last, keys, [BATCH]) if len({b for _, b in later}) > 1 else last).drop(BATCH)
             rows = rows.unionByName(without(self._scan(table, first).drop(BATCH), last, keys)).unionByName(last)
         return rows
 

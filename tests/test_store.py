@@ -1,5 +1,6 @@
 """Commits of several tables: what readers see at every step, merge on read, compaction, replay."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -13,6 +14,7 @@ from millrace.operators.stats import device_stats
 from millrace.plans import pipeline
 from millrace.plans.pipeline import Tables, ensure_tables, process_batch, refresh_derived, regenerate_clean, run_increment
 from millrace.schemas import DEVICE, RAW, RAW_VALUE, STATS_WINDOWS, TABLES, TIME
+from millrace.session import stage
 from millrace.sinks.store import DATE, Change, Conflict, Files, Store
 from millrace.sinks.tables import append_raw
 from workload.tables import customer_devices
@@ -304,3 +306,59 @@ def test_ensured_tables_are_those_of_the_pipeline(spark, tmp_path):
     process_batch(tables, spark.createDataFrame(rows, RAW))
     assert tables.read(spark, "clean").head()[TIME] == datetime(1970, 1, 2)
     assert tables.read(spark, "clean").columns[: len(TABLES["clean"].names)] == TABLES["clean"].names
+
+
+def test_rows_looked_at_again_are_not_copied_or_pivoted_and_an_idle_refresh_writes_nothing(spark, tmp_path, monkeypatch):
+    tables = Tables(str(tmp_path))
+    raw = spark.createDataFrame(
+        [(k, "", 0, 86_400_000 * d + 1000, m, float(d), 1, 0, 0) for k in ("a", "b") for d in range(1, 9)
+         for m in ("other", "_stored", "Instant flow rate 2")], RAW)
+    append_raw(raw, tables.path("raw"))
+    run_increment(tables, spark)
+    registry = spark.createDataFrame([("a",), ("a",)], f"{DEVICE} string")
+    refresh_derived(tables, registry)
+    before, staged = tables.store(spark).snapshot(), {}
+    assert before.read("measurements").count() == 16
+
+    def record(df, label, *folder):
+        staged[label] = (out := stage(df, label, *folder)).count()
+        return out
+
+    monkeypatch.setattr(pipeline, "stage", record)
+    run_increment(tables, spark, timedelta(days=60))
+    assert not {"batch", "wide"} & set(staged) and staged["insert"] == 0
+    refresh_derived(tables, registry)
+    after = tables.store(spark).snapshot()
+    for name in ("measurements", "clean", "stats", "duration_curve", "histogram"):
+        assert after.tables[name] == before.tables[name]
+    refresh_derived(tables, spark.createDataFrame([("b",)], f"{DEVICE} string"))
+    assert {r[0] for r in tables.read(spark, "duration_curve").select(DEVICE).collect()} == {"b"}
+
+
+def test_needed_days_equal_brute_force(spark):
+    chosen, first, rows = random.Random(3), date(2024, 1, 1), 12
+    day = lambda n: date.fromordinal(first.toordinal() + n)
+    index = [(k, day(n), chosen.randint(0, 6)) for k in "abcdef" for n in range(150) if chosen.random() < 0.4]
+    new = [(k, day(n)) for k in "abcdefg" for n in range(150) if chosen.random() < 0.03]
+    table = spark.createDataFrame(index, f"{DEVICE} string, {DATE} date, n long")
+    extents = table.groupBy(DEVICE).agg(F.min(DATE).alias("first_day"), F.max(DATE).alias("last_day"))
+    pairs = spark.createDataFrame([*new, (None, day(5))], f"{DEVICE} string, {DATE} date")
+    days = sorted({d for _, d, _ in index})
+    found = needed_days(lambda some: table.filter(F.col(DATE).isin(list(some))), days, extents, pairs, rows, step=5)
+    want = {*new, (None, day(5))}
+    for k, d in new:
+        for sign in (1, -1):
+            seen = 0
+            for at, n in sorted(((a, n) for x, a, n in index if x == k and (a > d if sign == 1 else a < d)), reverse=sign < 0):
+                if seen < rows:
+                    want.add((k, at))
+                seen += n
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_one_later_batch_is_not_grouped_again(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    now = store.commit(store.snapshot(), [Change("t", dated(spark, [("a", 1, 1), (None, 2, 1)]), ["k", DATE])])
+    now = store.commit(now, [Change("t", dated(spark, [("a", 1, 2), (None, 2, 2)]), ["k", DATE])])
+    assert {r["v"] for r in now.read("t").collect()} == {2} and now.read("t").count() == 2
+    assert "Aggregate" not in now.read("t")._jdf.queryExecution().toString()
