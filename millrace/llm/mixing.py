@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from millrace.llm import words as W
 from millrace.llm.shared import bitmap, carried, documents, in_bitmap, table
-from millrace.session import stage
+from millrace.session import stage, staging_scope
 
 SAMPLE = 12_000
 CELLS = 1 << 16
@@ -266,8 +266,9 @@ def label_facets(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> Mixture:
     """The mixture of ``docs`` by language and label; targets whose domain no label names are left out."""
-    model = classifier(docs, label_facets(docs, labels), ["language", "label"])
-    return solve(docs, model, {d: w for d, w in targets.items() if d in model["domains"]})
+    with staging_scope(docs.sparkSession):
+        model = classifier(docs, label_facets(docs, labels), ["language", "label"])
+        return solve(docs, model, {d: w for d, w in targets.items() if d in model["domains"]})
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -316,7 +316,9 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
               order: int = ORDER) -> DataFrame:
     """``docs`` without the documents that ``classify`` rejects."""
-    poor = stage(_scored(docs, labels, key, text, lang, order).filter(~F.col("keep")).select("_id", "_h").distinct(), "poor")
+    with staging_scope(docs.sparkSession) as around:
+        poor = _scored(docs, labels, key, text, lang, order).filter(~F.col("keep")).select("_id", "_h").distinct()
+        poor = stage(poor, "poor", around)
     packed, back = carried(docs, key, text)
     return back(_identified(packed, key, text).join(poor, ["_id", "_h"], "left_anti"))
 

@@ -1,3 +1,5 @@
+import pathlib
+
 import corpus_pipeline
 import duckdb
 import pytest
@@ -6,6 +8,7 @@ from check import TABLES, canonical
 from pyspark.sql import functions as F
 
 from millrace.llm import queries
+from millrace.session import scratch_root
 
 
 def write(spark, folder, rows):
@@ -39,6 +42,18 @@ def test_stages(spark, tmp_path):
     assert sentence(2, 60) not in text.text and text.n_chars == len(text.text)
 
 
+def test_stages_leave_only_the_ids_that_their_results_read(spark, tmp_path):
+    write(spark, tmp_path, [(k, sentence(k % 8 + 10, 60)) for k in range(30)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    staged = pathlib.Path(scratch_root(spark).removeprefix("file:")) / "staged" / spark.sparkContext.applicationId
+    for stage, names in ((corpus_pipeline.drop_poor, ["poor"]), (corpus_pipeline.drop_near_copies, ["kept"]),
+                         (corpus_pipeline.mix_domains, [])):
+        before = set(staged.iterdir()) if staged.exists() else set()
+        found = stage(spark, docs, str(tmp_path))
+        assert [p.name.split("-")[0] for p in set(staged.iterdir()) - before] == names
+        assert found.count() <= 30
+
+
 def test_registration():
     names = queries.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
