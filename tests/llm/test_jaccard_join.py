@@ -1,9 +1,11 @@
 import itertools
+import pathlib
 
 import pytest
 from cases import documents, sentence, shingles, texts
 
 from millrace.llm import jaccard_join
+from millrace.session import scratch_root
 
 
 def plain(rows, n, percent):
@@ -59,3 +61,11 @@ def test_keep_one_keeps_columns_and_one_of_each_group(spark):
     assert kept.columns == ["text", "doc_id", "rate"]
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
     assert ids == sorted([None, 1, 4, 5, 6, 7, 8, 10, 11, 12, 14, 15, 16, 17], key=str)
+
+
+def test_whole_sets_go_once_their_pairs_are_compared(spark):
+    staged = pathlib.Path(scratch_root(spark).removeprefix("file:")) / "staged" / spark.sparkContext.applicationId
+    before = set(staged.iterdir()) if staged.exists() else set()
+    _, _, links = jaccard_join.links(documents(spark, family()))
+    left = {p.name.split("-")[0] for p in set(staged.iterdir()) - before}
+    assert "verified" in left and not left & {"pairs", "ids", "sets"} and links.count() > 0
