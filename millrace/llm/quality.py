@@ -8,10 +8,15 @@ with a start mark, which have none. Each order has three discounts, from how man
 The logarithm of an interpolated probability is a sum over n-grams: the word's own, and for each known longer n-gram the
 amount by which it differs, plus the weight with which its context passes on mass to lower orders. So the model becomes
 one table (key of an n-gram, weight) that grows with the trusted text, and a document's surprise is the sum of the weights
-of all its n-grams: its pre-aggregated n-grams are joined with the table by key, shard by shard. N-grams that are
+of all its n-grams: its pre-aggregated n-grams are joined with the table by key. N-grams that are
 at least 1/``HOT`` of the training text, at most ``HOT`` of each order, are looked up before the shuffle instead, so no
 frequent word becomes a hot key. A bitmap spares the shuffle of n-grams that the table surely lacks.
 
+Both n-grams of the texts and of the documents are several times the text, so neither is on disk as a whole: n-grams are
+counted and weighed in ``SLICES`` parts by key, documents are scored in ``SLICES`` parts by id; fewer, where texts have
+less than ``SLICE`` bytes for each. The table is written in buckets of its key, so that its joins with the parts of the
+documents shuffle these only.
+
 A word that stands a third time in a row becomes a mark of its own that is never counted: such runs are always a surprise.
 
 A fifth of the trusted texts, chosen by the text, stays out of training. Their surprise per word gives the quartiles of
@@ -19,6 +24,10 @@ each language; a document is rejected if it lies ``FENCE`` interquartile ranges
 to the mean of their language by ``PRIOR`` words.
 """
 
+import functools
+import uuid
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,7 +35,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import words as W
 from millrace.llm.shared import bitmap, carried, documents, in_bitmap, table
-from millrace.session import stage, staging_scope
+from millrace.session import Buckets, drop_folder, stage, staging_scope
 
 ORDER = 2
 HOT = 1 << 18
@@ -34,6 +43,9 @@ FENCE = 3.0
 PRIOR = 10.0
 FOLDS = 5
 LEAST = 20
+SLICES = 8
+SLICE = 1 << 25
+BUCKET = 1 << 20
 START, END, RUN = 1, 2, 3
 UNIT = 1 << 20
 _BITS = 1 << 26
@@ -81,8 +93,9 @@ def _held(text):
     return F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0
 
 
-def count_grams(texts: DataFrame, order: int = ORDER, text: str = "text") -> DataFrame:
-    """(g0, g1, ..., c): how often each n-gram of ``order`` words and marks stands in the texts."""
+def count_grams(texts: DataFrame, order: int = ORDER, text: str = "text", part: int = 0, parts: int = 1) -> DataFrame:
+    """(g0, g1, ..., c): how often each n-gram of ``order`` words and marks stands in the texts; those of one of
+    ``parts`` parts by key."""
     names = _codes(order)
 
     def count(batches):
@@ -91,6 +104,9 @@ def count_grams(texts: DataFrame, order: int = ORDER, text: str = "text") -> Dat
                 code, _, place = _marked(W.find_words(batch.column(text), W.SPACED, W.KEEP_CASE), order)
                 at = np.flatnonzero((place >= order - 1) & (code != RUN))
                 key = keys(*(code[at - back] for back in range(order - 1, -1, -1)))
+                if parts > 1:
+                    mine = np.flatnonzero((key.view(np.uint64) >> np.uint64(32)) % np.uint64(parts) == part)
+                    key, at = key[mine], at[mine]
                 _, some, n = np.unique(key, return_index=True, return_counts=True)
                 words = [pa.array(code[at[some] - back]) for back in range(order - 1, -1, -1)]
                 yield pa.RecordBatch.from_arrays([*words, pa.array(n.astype(np.int64))], names=[*names, "c"])
@@ -124,8 +140,24 @@ def train(texts: DataFrame, order: int = ORDER, text: str = "text") -> tuple[Dat
         return _fitted(texts, order, text, around)
 
 
+def _slices(texts: DataFrame, text: str) -> int:
+    size = texts.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
+    return int(min(SLICES, 1 + size // SLICE))
+
+
+def _counted(texts: DataFrame, order: int, text: str) -> dict[str, DataFrame]:
+    """The parts of ``count_grams`` by the folder that each is staged in."""
+    spark = texts.sparkSession
+    with staging_scope(spark) as around:
+        texts = stage(texts.select(text), "texts")
+        parts = _slices(texts, text)
+        found = {f"{around}/part-{part}": count_grams(texts, order, text, part, parts) for part in range(parts)}
+        return {folder: stage(rows.withColumn("k", F.col("c")), "grams", folder) for folder, rows in found.items()}
+
+
 def _fitted(texts: DataFrame, order: int, text: str, around: str) -> tuple[DataFrame, int, int]:
-    counts = {order: stage(count_grams(texts, order, text).withColumn("k", F.col("c")), "grams")}
+    parts = _counted(texts, order, text)
+    counts = {order: functools.reduce(DataFrame.union, parts.values())}
     for m in range(order - 1, 0, -1):
         some = counts[m + 1].groupBy(*(F.col(f"g{k + 1}").alias(f"g{k}") for k in range(m)))
         some = some.agg(F.sum("c").alias("c"), F.count("*").alias("k"))
@@ -135,44 +167,53 @@ def _fitted(texts: DataFrame, order: int, text: str, around: str) -> tuple[DataF
     total, freed, size, words = one.agg(F.sum("k"), F.sum(cut), F.count("*"), F.sum("c")).first()
     unknown = (freed / total if total else 1.0) / (size + 1)
     least = float(np.log(unknown))
-    level = one.select("g0", "c", ((F.col("k") - cut) / F.lit(float(total or 1)) + unknown).alias("p"))
-    gain = F.log("p") - F.when(F.col("g0") == END, 0.0).otherwise(least)
-    weights = []
-    for m in range(1, order + 1):
-        level = level.withColumn("gain", gain)
-        if m == order:
-            weights.append(level.select(*_codes(m), "c", "gain"))
-            break
-        cut = _cut(counts[m + 1])
-        context = counts[m + 1].groupBy(*_codes(m)).agg(
-            F.sum("k").alias("total"), F.sum(cut).alias("freed"), F.sum("c").alias("seen"))
-        context = stage(context, "contexts")
-        both = level.join(context.withColumn("left", F.log(F.col("freed") / F.col("total"))), _codes(m), "full")
-        weights.append(both.select(*_codes(m), F.coalesce("c", "seen").alias("c"),
-                                   (F.coalesce("gain", F.lit(0.0)) + F.coalesce("left", F.lit(0.0))).alias("gain")))
-        ending = level.select(*(F.col(f"g{k}").alias(f"g{k + 1}") for k in range(m)), F.col("p").alias("lower"))
-        level = counts[m + 1].join(context.drop("seen"), _codes(m)).join(ending, _codes(m + 1)[1:])
-        mass = F.col("freed") / F.col("total")
-        level = level.select(*_codes(m + 1), "c", mass.alias("mass"), "lower",
-                             ((F.col("k") - cut) / F.col("total") + mass * F.col("lower")).alias("p"))
-        level = stage(level, "level") if m + 1 < order else level
-        gain = F.log("p") - F.log("mass") - F.log("lower")
-
-    def named(m: int):
+
+    def first(rows: DataFrame) -> DataFrame:
+        p = (F.col("k") - cut) / F.lit(float(total or 1)) + unknown
+        gain = F.log(p) - F.when(F.col("g0") == END, 0.0).otherwise(least)
+        return rows.select("g0", "c", p.alias("p"), gain.alias("gain"))
+
+    def named(rows: DataFrame, m: int) -> DataFrame:
         def run(batches):
             for batch in batches:
                 key = keys(*(batch.column(g).to_numpy() for g in _codes(m)))
                 yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("weight"), batch.column("c")],
                                                  names=["key", "weight", "c"])
 
-        return run
-
-    full = None
-    for m, rows in enumerate(weights, 1):
         rows = rows.select(*_codes(m), _fixed(F.col("gain")).alias("weight"), "c")
-        rows = rows.mapInArrow(named(m), "key long, weight int, c long")
-        full = rows if full is None else full.union(rows)
-    return stage(full, "weights", around), int(words or 0), round(least * UNIT)
+        return rows.mapInArrow(run, "key long, weight int, c long")
+
+    grams = sum(rows.count() for rows in counts.values())
+    table = Buckets(texts.sparkSession, f"{around}/weights-{uuid.uuid4().hex}", "key", grams // BUCKET)
+    grow = first
+    for m in range(1, order):
+        level = grow(counts[m])
+        level = stage(level, "level") if m > 1 else level
+        above = _cut(counts[m + 1])
+        context = counts[m + 1].groupBy(*_codes(m)).agg(
+            F.sum("k").alias("total"), F.sum(above).alias("freed"), F.sum("c").alias("seen"))
+        context = stage(context, "contexts")
+        both = level.join(context.withColumn("left", F.log(F.col("freed") / F.col("total"))), _codes(m), "full")
+        table.add(named(both.select(*_codes(m), F.coalesce("c", "seen").alias("c"), (
+            F.coalesce("gain", F.lit(0.0)) + F.coalesce("left", F.lit(0.0))).alias("gain")), m))
+        grow = _longer(level, context, above, m)
+    for folder, rows in parts.items():
+        table.add(named(grow(rows), order))
+        drop_folder(texts.sparkSession, folder)
+    return table.read(), int(words or 0), round(least * UNIT)
+
+
+def _longer(level: DataFrame, context: DataFrame, cut: F.Column, m: int) -> Callable[[DataFrame], DataFrame]:
+    """From counted n-grams of ``m + 1`` words to (words, c, p, gain), by their contexts and the ``level`` below."""
+    ending = level.select(*(F.col(f"g{k}").alias(f"g{k + 1}") for k in range(m)), F.col("p").alias("lower"))
+    mass = F.col("freed") / F.col("total")
+    p = (F.col("k") - cut) / F.col("total") + mass * F.col("lower")
+
+    def grow(rows: DataFrame) -> DataFrame:
+        both = rows.join(context.drop("seen"), _codes(m)).join(ending, _codes(m + 1)[1:])
+        return both.select(*_codes(m + 1), "c", p.alias("p"), (F.log(p) - F.log(mass) - F.log("lower")).alias("gain"))
+
+    return grow
 
 
 def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -228,9 +269,19 @@ def score(docs: DataFrame, model: tuple, order: int = ORDER, text: str = "text")
                               mask=np.arange(len(whose)) < len(key))], names=["key", "_id", "_h", "n", "own"])
 
     rows = docs.select("_id", "_h", F.col(text).cast("string").alias(text))
-    found = rows.mapInArrow(run, "key long, _id long, _h int, n int, own long").alias("d")
     sure = F.col("d.own").isNull() & (F.col("d.key") == F.col("m.key"))
-    joined = found.join(rare.alias("m"), sure, "left")
+
+    parts = _slices(rows, text)
+
+    def summed(part: int) -> DataFrame:
+        some = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(parts)) == part)
+        found = some.mapInArrow(run, "key long, _id long, _h int, n int, own long").alias("d")
+        return stage(_sums(found.join(rare.hint("shuffle_hash").alias("m"), sure, "left")), "sums")
+
+    return functools.reduce(DataFrame.union, [summed(part) for part in range(parts)])
+
+
+def _sums(joined: DataFrame) -> DataFrame:
     # Rows of the same id and text all add the same, so the sums are divided by their number.
     sums = joined.groupBy("_id", "_h").agg(
         F.sum(F.coalesce(F.col("own"), F.col("n") * F.coalesce(F.col("weight").cast("long"), F.lit(0)))).alias("sum"),

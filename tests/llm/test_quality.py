@@ -152,3 +152,37 @@ def test_quartiles(spark):
     value = sorted((s + quality.PRIOR * 20.5) / (1 + quality.PRIOR) for _, _, s in rows)
     q1, q3 = value[9], value[29]
     assert abs(got["en"].most - (q3 + quality.FENCE * (q3 - q1))) < 0.01
+
+
+def test_parts_hold_every_gram_once(spark):
+    texts = spark.createDataFrame([(t,) for _, t in corpus()[:40]], "text string")
+    whole = sorted(map(tuple, quality.count_grams(texts).collect()))
+    parts = [list(map(tuple, quality.count_grams(texts, part=part, parts=3).collect())) for part in range(3)]
+    assert sorted(sum(parts, [])) == whole and max(map(len, parts)) < len(whole) / 2
+
+
+def test_the_model_is_not_shuffled_again(spark):
+    texts = spark.createDataFrame([(t,) for _, t in corpus()[:40]], "text string")
+    weights = quality.train(texts)[0]
+    assert [r.name for r in spark.catalog.listTables() if r.name.startswith("millrace_")] == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = spark.range(1000).select((F.col("id") * 7).alias("key"))
+        plan = asked.join(weights.hint("shuffle_hash"), "key", "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
+def test_parts_give_the_same_model_and_scores(spark, monkeypatch):
+    docs = quality._identified(documents(spark, corpus()[:40] + texts()), "doc_id", "text")
+    train = spark.createDataFrame([(t,) for _, t in corpus()[:20]], "text string")
+
+    def found():
+        model = quality.train(train)
+        return sorted(map(tuple, model[0].collect())), model[1:], sorted(map(tuple, quality.score(docs, model).collect()))
+
+    whole = found()
+    monkeypatch.setattr(quality, "SLICE", 1 << 10)
+    monkeypatch.setattr(quality, "SLICES", 3)
+    assert quality._slices(train, "text") == 3 and found() == whole
