@@ -371,7 +371,18 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         poor = _scored(docs, labels, key, text, lang, order).filter(~F.col("keep")).select("_id", "_h").distinct()
         poor = stage(poor, "poor", around)
     packed, back = carried(docs, key, text)
-    return back(_identified(packed, key, text).join(poor, ["_id", "_h"], "left_anti"))
+    named = _identified(packed, key, text).withColumn("_at", F.xxhash64("_id", "_h"))
+    rejected = docs.sparkSession.sparkContext.broadcast(bitmap(poor, F.xxhash64("_id", "_h")))
+
+    def sifted(perhaps: bool):
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(in_bitmap(rejected.value, batch.column("_at").to_numpy()) == perhaps))
+
+        return named.mapInArrow(run, named.schema)
+
+    # Most texts surely stay and need no shuffle.
+    return back(sifted(False).unionByName(sifted(True).join(poor, ["_id", "_h"], "left_anti").select(named.columns)))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

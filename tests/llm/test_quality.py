@@ -174,6 +174,16 @@ def test_the_model_is_not_shuffled_again(spark):
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
 
 
+def test_texts_that_stay_are_not_shuffled(spark):
+    docs = documents(spark, corpus())
+    kept = quality.keep_good(docs, spark.createDataFrame([(i, 1, 0) for i in range(0, 300, 2)], LABELS))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    union = next(k for k, line in enumerate(plan) if "Union" in line)
+    sure = plan[union + 1 : next(k for k, line in enumerate(plan) if "Join LeftAnti" in line)]
+    assert any("MapInArrow" in line for line in sure) and not any("Join" in line for line in sure)
+    assert kept.count() == 300
+
+
 def test_parts_give_the_same_model_and_scores(spark, monkeypatch):
     docs = quality._identified(documents(spark, corpus()[:40] + texts()), "doc_id", "text")
     train = spark.createDataFrame([(t,) for _, t in corpus()[:20]], "text string")
