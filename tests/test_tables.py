@@ -112,6 +112,25 @@ def test_device_files_are_found_in_tasks_and_opened_once(spark, tmp_path, monkey
     assert clean_files(spark, mapping).count() == 4
 
 
+def test_the_driver_lists_few_files_at_a_time(spark, tmp_path, monkeypatch):
+    """Many files of two headers, also below folders: no list of paths in one reader, and the same rows."""
+    for i in range(60):
+        folder = tmp_path / (f"{DEVICE}=d{i}" if i % 3 else ".")
+        folder.mkdir(exist_ok=True)
+        (folder / f"{i}.csv").write_text(f"t,{'vw'[i % 2]}\n{i},{10 * i}\n{i},{10 * i + 1}\n")
+    listed, csv = [], type(spark.read).csv
+    monkeypatch.setattr(type(spark.read), "csv", lambda reader, files: listed.append(files) or csv(reader, files))
+    monkeypatch.setattr(csvfiles, "FILES", 6)
+    rows = read_clean_csv(spark, str(tmp_path)).collect()
+    want = [(f"d{i}" if i % 3 else None, str(i), *((x, None) if i % 2 == 0 else (None, x)))
+            for i in range(60) for x in (str(10 * i), str(10 * i + 1))]
+    assert sorted(((r[DEVICE], r.t, r.v, r.w) for r in rows), key=str) == sorted(want, key=str)
+    assert sorted(f for files in listed for f in files) == sorted(f"file:{p}" for p in tmp_path.rglob("*.csv"))
+    assert max(map(len, listed)) <= 20
+    by_line = sorted((r for r in rows if r.t == "7"), key=lambda r: r["_line"])
+    assert [r.w for r in by_line] == ["70", "71"]
+
+
 def test_processed_csv(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(f"timestamp,{RAW_VALUE},{VALUE},is_outlier,more\n2024-01-02,1.5,2,True,z\nx,1,1,False,z\n"
